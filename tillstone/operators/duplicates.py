@@ -65,7 +65,9 @@ def flag_duplicates(
     return unfolded.select(*df.columns, flag)
 
 
-def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def dedup_keep_first(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], newest_first: bool = False
+) -> DataFrame:
     """First row of each key group; ties fall to the remaining columns, so the survivor is fixed.
 
     The ``== 1`` filter lets Spark drop all but one row per key before the shuffle, which keeps a
@@ -73,7 +75,8 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     """
     orderable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     tiebreak = [name for name in orderable if name not in set(keys) | set(order)]
-    window = Window.partitionBy(*keys).orderBy(*[F.col(name).asc_nulls_last() for name in [*order, *tiebreak]])
+    leading = [F.col(n).desc_nulls_last() if newest_first else F.col(n).asc_nulls_last() for n in order]
+    window = Window.partitionBy(*keys).orderBy(*leading, *[F.col(n).asc_nulls_last() for n in tiebreak])
     ranked = df.withColumn(_FIRST, F.row_number().over(window))
     return ranked.filter(F.col(_FIRST) == 1).drop(_FIRST)
 
