@@ -22,7 +22,7 @@ MISSING_DATE = "1900-01-01"
 
 _DATE_TEXT = (
     r"^\s*(\d{4}([-/\\ ])\d{1,2}\2\d{1,2})"
-    r"(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?\s*$"
+    r"([ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?\s*$"
 )
 
 
@@ -49,14 +49,18 @@ def integer_from_double(value: Column) -> Column:
     return F.rint(value).try_cast("int")
 
 
+def _day_text(value: Column) -> Column:
+    """The ``yyyy-m-d`` part of a date or timestamp text, empty where there is none."""
+    return F.translate(F.regexp_extract(value, _DATE_TEXT, 1), "/\\ ", "---")
+
+
 def date_from_text(value: Column) -> Column:
-    day = F.translate(F.regexp_extract(value, _DATE_TEXT, 1), "/\\ ", "---")
-    return day.try_cast("date")
+    return _day_text(value).try_cast("date")
 
 
 def timestamp_from_text(value: Column) -> Column:
-    readable = F.when(value.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), F.trim(value))
-    return readable.try_cast("timestamp_ntz")
+    time_of_day = F.regexp_extract(value, _DATE_TEXT, 3)
+    return F.concat(_day_text(value), time_of_day).try_cast("timestamp_ntz")
 
 
 def transaction_date(value: Column) -> Column:
