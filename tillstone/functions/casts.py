@@ -10,6 +10,8 @@ loaded with, which differs from Spark's own casts in a few places:
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,21 +22,26 @@ QUANTITY = (10, 2)
 PERCENT = (5, 2)
 MISSING_DATE = "1900-01-01"
 
-_DATE_TEXT = (
-    r"^\s*(\d{4}([-/\\ ])\d{1,2}\2\d{1,2})"
-    r"([ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?\s*$"
-)
+_TIME_TEXT = r"([ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?\s*$"
+_DATE_TEXT = r"^\s*(\d{4}([-/\\ ])\d{1,2}\2\d{1,2})" + _TIME_TEXT
+_DASHED_TIMESTAMP = r"^\s*\d{4}-\d{1,2}-\d{1,2}" + _TIME_TEXT
+
 
+def scaled_half_away(value: Column, scale: int) -> Column:
+    """``value * 10**scale`` as a whole number, ties away from zero; NULL when it does not fit.
 
-def round_half_away(value: Column) -> Column:
-    """Nearest whole number of a double, ties away from zero, without leaving primitive arithmetic."""
-    nearest = F.rint(value)
-    return F.when(F.abs(value - nearest) == 0.5, value + F.signum(value) * 0.5).otherwise(nearest)
+    Twice the scaled value is cut to a whole number, which keeps the half, and is then halved away
+    from zero. All of it is primitive arithmetic.
+    """
+    doubled = (value * float(2 * 10**scale)).try_cast("bigint")
+    return F.shiftright(doubled + 1 + F.shiftright(doubled, 63), 1)
 
 
 def decimal_from_double(value: Column, precision: int, scale: int) -> Column:
-    factor = float(10**scale)
-    return (round_half_away(value * factor) / factor).try_cast(T.DecimalType(precision, scale))
+    """The whole number is brought to its scale in decimal arithmetic, never through text."""
+    whole = scaled_half_away(value, scale).try_cast(T.DecimalType(precision, 0))
+    unit = F.lit(Decimal(1).scaleb(-scale)).cast(T.DecimalType(scale, scale))
+    return (whole * unit).cast(T.DecimalType(precision, scale))
 
 
 def decimal_from_text(value: Column, precision: int, scale: int) -> Column:
@@ -59,8 +66,10 @@ def date_from_text(value: Column) -> Column:
 
 
 def timestamp_from_text(value: Column) -> Column:
-    time_of_day = F.regexp_extract(value, _DATE_TEXT, 3)
-    return F.concat(_day_text(value), time_of_day).try_cast("timestamp_ntz")
+    """The common form takes one pattern match; the other separators are tried where it fails."""
+    plain = F.regexp_extract(value, _DASHED_TIMESTAMP, 0).try_cast("timestamp_ntz")
+    other = F.concat(_day_text(value), F.regexp_extract(value, _DATE_TEXT, 3)).try_cast("timestamp_ntz")
+    return F.coalesce(plain, other)
 
 
 def transaction_date(value: Column) -> Column:
@@ -140,10 +149,13 @@ class ColumnCasts:
             return date_from_text(self.raw(name))
         return self.raw(name).try_cast("date")
 
-    def transaction_day(self, name: str) -> Column:
+    def transaction_day(self, name: str, day: Column | None = None) -> Column:
+        """``day`` hands in the cast of the whole value where it was made already."""
+        whole = self.day(name) if day is None else day
+        parts = [whole]
         if isinstance(self._type(name), T.StringType):
-            return transaction_date(self.raw(name))
-        return F.coalesce(self.day(name), F.lit(MISSING_DATE).cast("date"))
+            parts.append(date_from_text(F.substring(F.trim(self.raw(name)), 1, 10)))
+        return F.coalesce(*parts, F.lit(MISSING_DATE).cast("date"))
 
     def timestamp(self, name: str) -> Column:
         if isinstance(self._type(name), T.StringType):

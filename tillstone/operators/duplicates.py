@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _COPIES = "__copies"
-_IDENTITY = "__identity"
+_IDENTITY = ("__identity_a", "__identity_b")
 _FIRST = "__first"
 
 
@@ -26,45 +26,57 @@ def _sortable(columns: Sequence[str]) -> list[Column]:
     return members
 
 
-def row_identity(columns: Sequence[str]) -> Column:
-    """128-bit digest of the named columns, different for rows that differ in any of them."""
-    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+def row_identity(columns: Sequence[str]) -> list[Column]:
+    """128-bit digest of the named columns as two numbers.
+
+    The two hashes start from different seeds. NULL marks are hashed as well, because the hash
+    passes over NULL values.
+    """
+    marked = [part for name in columns for part in (F.col(name).isNull(), F.col(name))]
+    return [F.xxhash64(F.lit(seed), *marked).alias(name) for seed, name in enumerate(_IDENTITY)]
 
 
 def _flag_distinct_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], identity: Sequence[str], flag: str
+    df: DataFrame, keys: dict[str, Column], order: Sequence[str], identity: Sequence[str], flag: str
 ) -> DataFrame:
-    marked = df.withColumn(_IDENTITY, row_identity(identity))
-    rank = F.struct(*_sortable(order), F.col(_IDENTITY).alias("id"))
-    firsts = marked.groupBy(*keys).agg(F.min(rank).alias(_FIRST))
-    firsts = firsts.select(F.col(f"{_FIRST}.id").alias(_IDENTITY), F.lit(0).alias(flag))
-    flagged = marked.join(firsts, _IDENTITY, "left")
+    marked = df.select("*", *row_identity(identity))
+    rank = F.struct(*_sortable(order), *_IDENTITY)
+    ranked = marked.select(*[key.alias(name) for name, key in keys.items()], rank.alias(_FIRST))
+    firsts = ranked.groupBy(*keys).agg(F.min(_FIRST).alias(_FIRST))
+    firsts = firsts.select(*[F.col(f"{_FIRST}.{name}").alias(name) for name in _IDENTITY], F.lit(0).alias(flag))
+    flagged = marked.join(firsts, list(_IDENTITY), "left")
     return flagged.select(*df.columns, F.coalesce(F.col(flag), F.lit(1)).alias(flag))
 
 
 def flag_duplicates(
     df: DataFrame,
-    keys: Sequence[str],
+    keys: Sequence[str] | dict[str, Column],
     order: Sequence[str],
     row_id: Sequence[str] | None = None,
     flag: str = "potential_duplicate_flag",
 ) -> DataFrame:
     """Add 0 to the first row of each key group and 1 to every later row. No row is dropped.
 
+    ``keys`` are column names, or expressions by name when the key is derived; only the derived
+    keys and the order are grouped, the rows themselves are shuffled once and as they are.
     ``row_id`` names columns that identify a row; ties in ``order`` fall to it. Without it, exact
     copies are first folded into one row and a count, so even a group of identical rows that makes
     up much of the table is never gathered in one task.
     """
     if row_id is not None:
-        return _flag_distinct_rows(df, keys, order, row_id, flag)
+        return _flag_distinct_rows(df, _by_name(keys), order, row_id, flag)
     folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
-    flagged = _flag_distinct_rows(folded, keys, order, df.columns, flag)
+    flagged = _flag_distinct_rows(folded, _by_name(keys), order, df.columns, flag)
     first_copy = F.array(F.col(flag))
     later_copies = F.array_repeat(F.lit(1), (F.col(_COPIES) - 1).cast("int"))
     unfolded = flagged.withColumn(flag, F.explode(F.concat(first_copy, later_copies)))
     return unfolded.select(*df.columns, flag)
 
 
+def _by_name(keys: Sequence[str] | dict[str, Column]) -> dict[str, Column]:
+    return keys if isinstance(keys, dict) else {name: F.col(name) for name in keys}
+
+
 def dedup_keep_first(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], newest_first: bool = False
 ) -> DataFrame:

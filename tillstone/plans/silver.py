@@ -26,7 +26,8 @@ BRONZE_KEYS = {
     DETAILED: ["DOCUMENT_NUMBER", "ITEM_CODE", "TRN_DATE", "AMOUNT"],
 }
 LINE_KEYS = ["invoice_number", "product_code", "transaction_date", "amount"]
-LINE_ORDER = ["bronze_load_timestamp", "source_file_path"]
+LINE_ORDER = ["load_timestamp", "source_file_path"]
+DUPLICATE_FLAG = "potential_duplicate_flag"
 
 
 @dataclass(frozen=True)
@@ -54,22 +55,35 @@ def document_type(casts: ColumnCasts) -> Column:
     return F.when(looks_like_credit(casts), CREDIT_NOTE).otherwise(INVOICE)
 
 
-def quality_flags(casts: ColumnCasts) -> dict[str, Column]:
+def quality_flags(amount: Column, day: Column, customer: Column) -> dict[str, Column]:
     return {
-        "amount_invalid_flag": casts.money("AMOUNT").isNull().cast("int"),
-        "date_invalid_flag": casts.day("TRN_DATE").isNull().cast("int"),
-        "customer_missing_flag": is_blank(casts.raw("CUS_CODE")).cast("int"),
+        "amount_invalid_flag": amount.isNull().cast("int"),
+        "date_invalid_flag": day.isNull().cast("int"),
+        "customer_missing_flag": is_blank(customer).cast("int"),
     }
 
 
-def line_quality_flags(casts: ColumnCasts) -> dict[str, Column]:
+def line_quality_flags(quantity: Column, price: Column) -> dict[str, Column]:
     def not_positive(value: Column) -> Column:
         return (value.isNull() | (value <= 0)).cast("int")
 
-    return {
-        "quantity_invalid_flag": not_positive(casts.quantity("QUANTITY")),
-        "price_invalid_flag": not_positive(casts.money("ITEM_PRICE")),
+    return {"quantity_invalid_flag": not_positive(quantity), "price_invalid_flag": not_positive(price)}
+
+
+# Casts that several silver columns build on. They are made once, in their own projection: Spark
+# keeps it apart from the next one, so a cast is neither repeated nor does one projection grow
+# past what the JVM compiles.
+_AMOUNT, _CREDIT, _DAY, _QUANTITY, _PRICE = "__amount", "__credit", "__day", "__quantity", "__price"
+
+
+def _with_shared_casts(bronze: DataFrame, grain: str) -> DataFrame:
+    casts = ColumnCasts(bronze)
+    shared = {
+        _AMOUNT: casts.money("AMOUNT"), _CREDIT: looks_like_credit(casts), _DAY: casts.day("TRN_DATE"),
     }
+    if grain == DETAILED:
+        shared |= {_QUANTITY: casts.quantity("QUANTITY"), _PRICE: casts.money("ITEM_PRICE")}
+    return bronze.filter(_usable(bronze, grain, casts)).withColumns(shared)
 
 
 def _customer(casts: ColumnCasts) -> dict[str, Column]:
@@ -78,7 +92,7 @@ def _customer(casts: ColumnCasts) -> dict[str, Column]:
 
 def _calendar(casts: ColumnCasts) -> dict[str, Column]:
     return {
-        "transaction_date": casts.transaction_day("TRN_DATE"),
+        "transaction_date": casts.transaction_day("TRN_DATE", F.col(_DAY)),
         "transaction_year": casts.integer("TRN_YEAR"),
         "transaction_month": casts.integer("TRN_MONTH"),
     }
@@ -120,11 +134,11 @@ def _line_details(casts: ColumnCasts, prefix: str = "") -> dict[str, Column]:
     unsigned = F.abs if prefix else (lambda value: value)
     return {
         f"{prefix}tax_amount": unsigned(casts.money("TAX_AMOUNT")),
-        f"{prefix}quantity": casts.quantity("QUANTITY"),
+        f"{prefix}quantity": F.col(_QUANTITY),
         f"{prefix}discount_percent": casts.percent("DISCOUNT_PERCENT"),
         f"{prefix}line_discount": unsigned(casts.money("DISCOUNT")),
         f"{prefix}product_description": casts.text("DESCRIPTION"),
-        f"{prefix}unit_price": casts.money("ITEM_PRICE"),
+        f"{prefix}unit_price": F.col(_PRICE),
         f"{prefix}price_weight": casts.text("PW"),
         f"{prefix}price_weight_quantity": casts.quantity("PWQTY"),
         f"{prefix}transaction_type": casts.text("TRN_TYPE"),
@@ -132,9 +146,9 @@ def _line_details(casts: ColumnCasts, prefix: str = "") -> dict[str, Column]:
 
 
 def _invoice_amounts(casts: ColumnCasts) -> dict[str, Column]:
-    amount = casts.money("AMOUNT")
+    amount = F.col(_AMOUNT)
     return {
-        "amount": F.when(looks_like_credit(casts), F.abs(amount)).otherwise(amount),
+        "amount": F.when(F.col(_CREDIT), F.abs(amount)).otherwise(amount),
         "amount_inclusive": casts.money("AMOUNT_INCLUSIVE"),
         "amount_exclusive": casts.money("AMOUNT_EXCLUSIVE"),
         "vat_amount": casts.money("VAT"),
@@ -144,7 +158,7 @@ def _invoice_amounts(casts: ColumnCasts) -> dict[str, Column]:
 
 def _credit_amounts(casts: ColumnCasts) -> dict[str, Column]:
     return {f"credit_{name}": F.abs(value) for name, value in {
-        "amount": casts.money("AMOUNT"),
+        "amount": F.col(_AMOUNT),
         "amount_inclusive": casts.money("AMOUNT_INCLUSIVE"),
         "amount_exclusive": casts.money("AMOUNT_EXCLUSIVE"),
         "vat_amount": casts.money("VAT"),
@@ -202,18 +216,18 @@ def invoice_calculations() -> dict[str, Column]:
 
 def clean_summarized(bronze: DataFrame, run: Run) -> DataFrame:
     """Typed invoice columns of every usable document, before the split."""
-    casts = ColumnCasts(bronze)
-    rows = bronze.filter(_usable(bronze, SUMMARIZED, casts))
+    rows = _with_shared_casts(bronze, SUMMARIZED)
+    casts = ColumnCasts(rows)
     cleaned = _select(rows, {
         "invoice_number": casts.text("DOCUMENT_NUMBER"),
-        "document_type": document_type(casts),
+        "document_type": F.when(F.col(_CREDIT), CREDIT_NOTE).otherwise(INVOICE),
         **_customer(casts),
         **_calendar(casts),
         **_invoice_amounts(casts),
         **_branch(casts),
         **_contact(casts, run),
         "source_processed_at": casts.timestamp("_processed_at"),
-        **quality_flags(casts),
+        **quality_flags(F.col(_AMOUNT), F.col(_DAY), casts.raw("CUS_CODE")),
         **_load(casts),
         **_originals(casts, ["DOCUMENT_NUMBER", "CUS_CODE", "CUSTOMER_NAME", "TRN_DATE"]),
     })
@@ -222,12 +236,12 @@ def clean_summarized(bronze: DataFrame, run: Run) -> DataFrame:
 
 def clean_detailed(bronze: DataFrame, run: Run, carry: Sequence[str] = ()) -> DataFrame:
     """Typed line columns of every usable line, before the split; ``carry`` passes columns through."""
-    casts = ColumnCasts(bronze)
-    rows = bronze.filter(_usable(bronze, DETAILED, casts))
+    rows = _with_shared_casts(bronze, DETAILED)
+    casts = ColumnCasts(rows)
     cleaned = _select(rows, {
         "invoice_number": casts.text("DOCUMENT_NUMBER"),
         "product_code": casts.text("ITEM_CODE"),
-        "document_type": document_type(casts),
+        "document_type": F.when(F.col(_CREDIT), CREDIT_NOTE).otherwise(INVOICE),
         **_customer(casts),
         **_calendar(casts),
         **_invoice_amounts(casts),
@@ -237,8 +251,8 @@ def clean_detailed(bronze: DataFrame, run: Run, carry: Sequence[str] = ()) -> Da
         **_branch(casts),
         **_contact(casts, run),
         "source_processed_at": casts.timestamp("_processed_at"),
-        **quality_flags(casts),
-        **line_quality_flags(casts),
+        **quality_flags(F.col(_AMOUNT), F.col(_DAY), casts.raw("CUS_CODE")),
+        **line_quality_flags(F.col(_QUANTITY), F.col(_PRICE)),
         **_load(casts),
         **_originals(casts, ["DOCUMENT_NUMBER", "ITEM_CODE", "CUS_CODE", "DESCRIPTION"]),
         **{name: casts.raw(name) for name in carry},
@@ -257,30 +271,39 @@ def summarized_invoices(bronze: DataFrame, run: Run) -> DataFrame:
     return clean_summarized(bronze.filter(casts.money("AMOUNT") > 0), run)
 
 
+def line_keys(casts: ColumnCasts) -> dict[str, Column]:
+    """What makes two positive lines repeats of each other, derived from bronze columns by name."""
+    names = ("DOCUMENT_NUMBER", "ITEM_CODE", "TRN_DATE", "AMOUNT")
+    values = (casts.text(names[0]), casts.text(names[1]), casts.transaction_day(names[2]), casts.money(names[3]))
+    return dict(zip(LINE_KEYS, values))
+
+
 def detailed_invoices(bronze: DataFrame, run: Run, row_id: Sequence[str] | None = None) -> DataFrame:
     """Lines with a positive amount, with a flag on repeats of a line.
 
+    Lines are flagged before they are cleaned, so the shuffle carries the narrower bronze rows.
     ``row_id`` names bronze columns that identify a row, such as the file and row position that
     ``read_with_row_id`` adds. Passing them saves folding exact copies first.
     """
     casts = ColumnCasts(bronze)
-    row_id = list(row_id or ())
-    lines = clean_detailed(bronze.filter(casts.money("AMOUNT") > 0), run, carry=row_id)
-    return flag_duplicates(lines, LINE_KEYS, LINE_ORDER, row_id or None).drop(*row_id)
+    positive = bronze.filter(_usable(bronze, DETAILED, casts) & (casts.money("AMOUNT") > 0))
+    flagged = flag_duplicates(positive, line_keys(ColumnCasts(positive)), LINE_ORDER, row_id, DUPLICATE_FLAG)
+    return clean_detailed(flagged, run, carry=[DUPLICATE_FLAG])
 
 
 def _credit_type() -> Column:
     return F.when(F.col("credit_amount") == 0, ZERO_AMOUNT).otherwise(CREDIT_NOTE)
 
 
-def _credit_rows(bronze: DataFrame, grain: str, casts: ColumnCasts) -> DataFrame:
-    return bronze.filter(_usable(bronze, grain, casts) & (casts.money("AMOUNT") <= 0))
+def _credit_rows(bronze: DataFrame, grain: str) -> DataFrame:
+    return _with_shared_casts(bronze.filter(ColumnCasts(bronze).money("AMOUNT") <= 0), grain)
 
 
 def summarized_credit_notes(bronze: DataFrame, run: Run) -> DataFrame:
     """Documents with a zero or negative amount; amounts lose their sign."""
-    casts = ColumnCasts(bronze)
-    credits = _select(_credit_rows(bronze, SUMMARIZED, casts), {
+    rows = _credit_rows(bronze, SUMMARIZED)
+    casts = ColumnCasts(rows)
+    credits = _select(rows, {
         "credit_note_number": casts.text("DOCUMENT_NUMBER"),
         **_customer(casts),
         **_calendar(casts),
@@ -295,8 +318,9 @@ def summarized_credit_notes(bronze: DataFrame, run: Run) -> DataFrame:
 
 def detailed_credit_notes(bronze: DataFrame, run: Run) -> DataFrame:
     """Lines with a zero or negative amount; amounts lose their sign, quantity keeps it."""
-    casts = ColumnCasts(bronze)
-    credits = _select(_credit_rows(bronze, DETAILED, casts), {
+    rows = _credit_rows(bronze, DETAILED)
+    casts = ColumnCasts(rows)
+    credits = _select(rows, {
         "credit_note_number": casts.text("DOCUMENT_NUMBER"),
         "product_code": casts.text("ITEM_CODE"),
         **_customer(casts),

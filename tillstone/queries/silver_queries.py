@@ -140,7 +140,8 @@ FROM bronze_detailed GROUP BY ALL""")
 def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = bronze_detailed(spark, sf_dir)
     casts = ColumnCasts(bronze)
-    flags = {**silver.quality_flags(casts), **silver.line_quality_flags(casts)}
+    flags = silver.quality_flags(casts.money("AMOUNT"), casts.day("TRN_DATE"), casts.raw("CUS_CODE"))
+    flags |= silver.line_quality_flags(casts.quantity("QUANTITY"), casts.money("ITEM_PRICE"))
     return bronze.groupBy([flag.alias(name) for name, flag in flags.items()]).agg(
         F.count(F.lit(1)).alias("line_count")
     )
@@ -243,8 +244,9 @@ FROM detailed_invoices""")
 def potential_duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = bronze_detailed(spark, sf_dir)
     positive = bronze.filter(ColumnCasts(bronze).money("AMOUNT") > 0)
-    lines = silver.clean_detailed(positive, RUN).select(*silver.LINE_KEYS, *silver.LINE_ORDER)
-    return flag_duplicates(lines, silver.LINE_KEYS, silver.LINE_ORDER)
+    order = ["bronze_load_timestamp", "source_file_path"]
+    lines = silver.clean_detailed(positive, RUN).select(*silver.LINE_KEYS, *order)
+    return flag_duplicates(lines, silver.LINE_KEYS, order)
 
 
 @query("daily_invoices_summarized", sql.with_tables(*sql.FROM_SUMMARIZED)
