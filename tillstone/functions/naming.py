@@ -15,6 +15,11 @@ UNNAMED_COLUMN = "unknown_column"
 UNNAMED_TABLE = "unknown_table"
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots, as a column reference."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def strip_scheme(path: Column) -> Column:
     """``file:///data/x`` and ``s3a://bucket/x`` as plain slash paths."""
     return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.\-]*:/+", "/")

@@ -95,14 +95,15 @@ def dedup_keep_first(
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of keys that occur more than once."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COPIES))
+    repeated = groups.filter(F.col(_COPIES) > 1)
     return repeated.agg(F.count(F.lit(1)).alias("potential_duplicate_count"))
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows beyond the first of each key; NULL counts as a key value."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_count"))
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COPIES))
+    return groups.agg(F.coalesce(F.sum(F.col(_COPIES) - 1), F.lit(0)).cast("bigint").alias("duplicate_count"))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

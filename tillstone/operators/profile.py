@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstone.functions.casts import timestamp_from_text
+from tillstone.functions.naming import quoted
 from tillstone.operators.quality import string_columns
 
 # Texts taken as true and false.
@@ -28,7 +29,7 @@ def _per_column(
     structs = [
         F.struct(
             F.lit(name).alias("column_name"),
-            *[measure(F.col(name)).alias(label) for label, measure in measures.items()],
+            *[measure(F.col(quoted(name))).alias(label) for label, measure in measures.items()],
         ).alias(f"c{index}")
         for index, name in enumerate(columns)
     ]
@@ -54,12 +55,12 @@ def drop_sparse(df: DataFrame, percent: float = 1.0) -> DataFrame:
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
     """Without the columns that hold no value at all."""
-    filled = df.agg(*[F.count(F.col(name)).alias(name) for name in df.columns]).first().asDict()
+    filled = df.agg(*[F.count(F.col(quoted(name))).alias(name) for name in df.columns]).first().asDict()
     return df.drop(*[name for name, rows in filled.items() if rows == 0])
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
-    return df.dropna("all")
+    return df.filter(reduce(Column.__or__, [F.col(quoted(name)).isNotNull() for name in df.columns]))
 
 
 def all_zero_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -101,13 +102,13 @@ def boolean_from_text(value: Column) -> Column:
 def any_negative_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows where at least one number is negative."""
     names = list(columns or numeric_columns(df))
-    return df.filter(reduce(Column.__or__, [F.coalesce(F.col(n) < 0, F.lit(False)) for n in names]))
+    return df.filter(reduce(Column.__or__, [F.coalesce(F.col(quoted(n)) < 0, F.lit(False)) for n in names]))
 
 
 def any_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows where at least one text is missing."""
     names = list(columns or string_columns(df))
-    return df.filter(reduce(Column.__or__, [F.col(n).isNull() for n in names]))
+    return df.filter(reduce(Column.__or__, [F.col(quoted(n)).isNull() for n in names]))
 
 
 def nonpositive_counts(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -142,8 +143,8 @@ def columns_only_in(left: DataFrame, right: DataFrame) -> list[str]:
 
 def check_unique(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once; NULL is not a value."""
-    groups = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return groups.filter("n > 1").agg(F.count(F.lit(1)).alias("failures"))
+    groups = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__rows"))
+    return groups.filter(F.col("__rows") > 1).agg(F.count(F.lit(1)).alias("failures"))
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstone.functions.naming import quoted
+
 # Issue types and the two-character text the monitors look for as a "tab".
 TRAILING_WHITESPACE = "TRAILING_WHITESPACE"
 POTENTIAL_DUPLICATES = "POTENTIAL_DUPLICATES"
@@ -40,7 +42,7 @@ def whitespace_profile(df: DataFrame, columns: Sequence[str] | None = None, real
     names = list(columns) if columns is not None else string_columns(df)
     if not names:
         return df.sparkSession.createDataFrame([], "column_name string, affected_rows bigint, sample_data string")
-    cells = F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(name).alias("value")) for name in names])
+    cells = F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(quoted(name)).alias("value")) for name in names])
     dirty = F.filter(cells, lambda cell: has_outer_whitespace(cell["value"], real_tabs))
     values = df.select(F.explode(dirty).alias("cell")).groupBy("cell.column_name", "cell.value")
     counted = values.agg(F.count(F.lit(1)).alias("n"))
