@@ -42,13 +42,19 @@ def whitespace_profile(df: DataFrame, columns: Sequence[str] | None = None, real
     names = list(columns) if columns is not None else string_columns(df)
     if not names:
         return df.sparkSession.createDataFrame([], "column_name string, affected_rows bigint, sample_data string")
-    cells = F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(quoted(name)).alias("value")) for name in names])
-    dirty = F.filter(cells, lambda cell: has_outer_whitespace(cell["value"], real_tabs))
-    values = df.select(F.explode(dirty).alias("cell")).groupBy("cell.column_name", "cell.value")
-    counted = values.agg(F.count(F.lit(1)).alias("n"))
+    cells = F.array(*[
+        F.when(
+            has_outer_whitespace(F.col(quoted(name)), real_tabs),
+            F.struct(F.lit(name).alias("column_name"), F.col(quoted(name)).alias("value")),
+        )
+        for name in names
+    ])
+    dirty = df.select(F.explode(cells).alias("cell")).filter(F.col("cell").isNotNull())
+    counted = dirty.groupBy("cell.column_name", "cell.value").agg(F.count(F.lit(1)).alias("n"))
     totals = counted.groupBy("column_name").agg(F.sum("n").alias("affected_rows"))
     rank = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
-    first = counted.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_SIZE)
+    # The filter reads the count, so that both branches have the same shuffle and Spark runs it once.
+    first = counted.filter(F.col("n") > 0).withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_SIZE)
     samples = first.groupBy("column_name").agg(
         F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("sample_data")
     )

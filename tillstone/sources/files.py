@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 
@@ -17,6 +18,7 @@ PARQUET_GLOB = "*.parquet"
 WORKBOOK_GLOB = "*.{xls,xlsx,xlsm,xlsb}"
 # binaryFile puts a file in one row; larger ones are told apart by size and time alone.
 HASH_LIMIT_BYTES = 512 * 1024 * 1024
+FILES_PER_READ = 10_000
 
 LISTING_SCHEMA = "file_path string, uri string, file_size bigint, last_modified timestamp"
 SCHEMA_LISTING = "file_path string, position int, column_name string, data_type string, error_message string"
@@ -144,13 +146,19 @@ def file_schemas(files: DataFrame) -> DataFrame:
 
 
 def schema_groups(schemas: DataFrame, files: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Listed files that share a schema (and ``by``), with the first path of each group."""
+    """Listed files that share a schema (and ``by``), with the first path of each group.
+
+    Files of a schema are spread over groups of about ``FILES_PER_READ``, so no task gathers an
+    unbounded list of paths and each group is one read.
+    """
+    spread = max(1, math.ceil(files.count() / FILES_PER_READ))
     column = F.struct("position", "column_name", "data_type")
     per_file = schemas.filter(F.col("error_message").isNull()).groupBy("file_path").agg(
         F.array_sort(F.collect_list(column)).alias("columns")
     )
     listed = per_file.join(files.select("file_path", "uri", *by), "file_path")
-    return listed.groupBy(*by, "columns").agg(
+    part = F.pmod(F.xxhash64("file_path"), F.lit(spread))
+    return listed.groupBy(*by, "columns", part.alias("part")).agg(
         F.min("file_path").alias("first_path"), F.collect_list("uri").alias("uris")
     )
 
