@@ -1,8 +1,8 @@
 """Jaccard self-join of documents on sets of word n-grams, through token-combination prefixes.
 
 A token is a shingle of ``width`` words (its 64-bit hash). Tokens have one global order: first the low
-tokens (hash under a fixed share of the range) that few sets hold, then the low ones that many hold,
-then all others, each by hash. A set's prefix runs along this order until any set within the threshold
+tokens (hash under a fixed share of the range) that one set holds, then those that few hold, then the
+low ones that many hold, then all others, each by hash. A set's prefix runs along this order until any set within the threshold
 must still share a signature with it: a rare token, or any high one, is a signature by itself and is
 worth one missing token; frequent low tokens are dealt into small parts by hash, and each pair in a
 part is a signature, so that a part of m tokens is worth m - 1. With at most t tokens missing, prefixes
@@ -46,8 +46,8 @@ def missing(n, percent: int):
 
 
 def low_bound(percent: int) -> np.uint64:
-    """Hashes below this are low: a quarter more than the share of tokens that may be missing."""
-    return U64(int((100 - percent) / 100 * 1.25 * (1 << 64)))
+    """Hashes below this are low: somewhat more than the share of tokens that may be missing."""
+    return U64(int(((100 - percent) / 100 + 0.08) * (1 << 64)))
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -110,15 +110,19 @@ def signatures(n: int, low: int, tokens: np.ndarray, held: np.ndarray, percent:
     ``held`` gives the sets that hold each of the first ``low`` tokens.
     """
     need = missing(n, percent) + 1
-    rare = tokens[:low][held <= RARE]
-    out = [(int(h), SINGLE, -1) for h in rare[:need].view(np.int64)]
-    if len(rare) >= need:
+    # a token that no other set holds is worth its place in the prefix but leads nowhere
+    alone = int((held == 1).sum())
+    if alone >= need:
+        return [], 0
+    rare = tokens[:low][(held > 1) & (held <= RARE)][:need - alone]
+    out = [(int(h), SINGLE, -1) for h in rare.view(np.int64)]
+    if alone + len(rare) >= need:
         return out, 0
     frequent = tokens[:low][held > RARE]
     own = level(n, percent)
     short = 0
     for lv in (own, own + 1):
-        worth, parts = len(rare), {}
+        worth, parts = alone + len(rare), {}
         count = max(1, int((100 / percent) ** lv * (100 - percent) / 100 * 0.6))
         where = (mix(frequent ^ U64(0x5851F42D4C957F2D)) % U64(count)).astype(np.int64)
         for h, part in zip(frequent.tolist(), where.tolist(), strict=True):
@@ -150,10 +154,8 @@ def _sign(percent: int):
                 if known:
                     at, times = np.array([(k["at"], k["held"]) for k in known]).T
                     held[at] = times
-                # a rare token that no other set holds is worth its place but leads nowhere
-                alone = set(tokens[:low][held == 1].view(np.int64).tolist())
                 found, short = signatures(n, low, tokens, held, percent)
-                rows += [(key, kind, lv, rep, n, 0) for key, kind, lv in found if kind != SINGLE or key not in alone]
+                rows += [(key, kind, lv, rep, n, 0) for key, kind, lv in found]
                 high = tokens[low:].view(np.int64).tolist() if short else []
                 rows += [(h, HIGH, -1, rep, n, 0) for h in high[:short]]
                 if short > len(high) and n > len(tokens):
