@@ -164,11 +164,12 @@ def anchor_runs(values: np.ndarray, rows: np.ndarray, window: int, gram: int, ba
     """Runs of consecutive windows of a row that share their anchor.
 
     A window's anchor is its leftmost least gram, so equal windows have equal anchors at equal places.
-    Returns, per run: row, first window, number of windows, hash of the anchor, hash of all its items.
+    Returns, per run: row, first window, number of windows, hash of the anchor, hash of all its items,
+    place of the anchor.
     """
     empty = np.empty(0, dtype=np.int64)
     if len(values) < window:
-        return empty, empty, empty, np.empty(0, dtype=U64), np.empty(0, dtype=U64)
+        return empty, empty, empty, np.empty(0, dtype=U64), np.empty(0, dtype=U64), empty
     grams = Prefix(values, base).windows(gram)
     place = sliding_least(grams, window - gram + 1)
     ok = inside_rows(rows, window)[:len(place)]
@@ -177,11 +178,11 @@ def anchor_runs(values: np.ndarray, rows: np.ndarray, window: int, gram: int, ba
     first[1:] &= (place[1:] != place[:-1]) | ~ok[:-1]
     start = np.flatnonzero(first)
     if not len(start):
-        return empty, empty, empty, np.empty(0, dtype=U64), np.empty(0, dtype=U64)
+        return empty, empty, empty, np.empty(0, dtype=U64), np.empty(0, dtype=U64), empty
     # windows of a run: up to the next run or the row's end
     row = np.searchsorted(rows, start, side="right") - 1
     row_end = rows[row + 1] - window + 1
     nxt = np.append(start[1:], len(place))
     count = np.minimum(nxt, row_end) - start
     content = Prefix(mix(values), SECOND_BASE).span(start, start + count + window - 1)
-    return row, start, count, grams[place[start]], content ^ mix(count.astype(U64))
+    return row, start, count, grams[place[start]], content ^ mix(count.astype(U64)), place[start]

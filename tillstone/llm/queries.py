@@ -35,3 +35,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return jaccard_components(table(spark, sf_dir, "documents"), 3, 90).select(
         "id", "n_shingles", "component_id").withColumnRenamed("id", "doc_id")
+
+
+@query("op6_substring_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op8_suffix_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.suffix_dedup import suffix_dedup
+
+    return suffix_dedup(table(spark, sf_dir, "documents"))
