@@ -49,3 +49,63 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillstone.llm.suffix_dedup import suffix_dedup
 
     return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.decontaminate import contaminated_spans
+
+    return contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+@query("op3_topk_search")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.topk_search import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_html_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+MIX_SQL = """
+WITH sizes AS (
+    SELECT source, sum(greatest(coalesce(length(text), 0), 1)) AS size FROM documents GROUP BY source
+), rates AS (
+    SELECT source, sqrt(size) / (SELECT sum(sqrt(size)) FROM sizes) * (SELECT sum(size) FROM sizes) / size AS rate FROM sizes
+), steps AS (
+    SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS reached
+    FROM rates, range(0, 200) AS r(k)
+), drawn AS (
+    SELECT d.*, (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source
+                 AND s.reached * pow(16, 13) <= ('0x' || substr(md5('mix-1:' || doc_id), 1, 13))::BIGINT) AS copies
+    FROM documents d
+)
+SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy, ('0x' || substr(md5('mix-1:' || doc_id || ':' || copy), 1, 13))::BIGINT AS mix_key
+FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM drawn)
+"""
+
+
+@query("op9_source_mix", MIX_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.license_scan import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
