@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,7 +39,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def grams(word: str, size: int) -> list[str]:
-    marked = f"^{word}$"
+    marked = f"^{word}$" if size > 1 else word
     return [marked[i:i + size] for i in range(len(marked) - size + 1)]
 
 
@@ -129,19 +130,20 @@ class _Scores(dict):
         return at
 
 
-_KEPT: dict[int, _Scores] = {}
+_KEPT: dict[str, _Scores] = {}
 
 
 def predictor(spark, model: Model):
     """Column function text -> (lang, score)."""
     shared = spark.sparkContext.broadcast((model.languages, model.tables))
+    name = uuid.uuid4().hex
 
     @F.pandas_udf("lang string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        if shared.id not in _KEPT:
+        if name not in _KEPT:
             _KEPT.clear()
-            _KEPT[shared.id] = _Scores(Model(*shared.value))
-        scores = _KEPT[shared.id]
+            _KEPT[name] = _Scores(Model(*shared.value))
+        scores = _KEPT[name]
         languages = scores.model.languages
         names, shares = [], []
         for text in texts:
