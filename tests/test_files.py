@@ -90,9 +90,9 @@ def test_second_load_takes_only_failed_new_and_changed_files(spark, landing, sto
     assert sinks.read_table_or_none(spark, store.table(DETAILED)).count() == 10
     skipped = bronze.load_bronze(spark, str(landing), store, 3, "2025-02-03 00:00:00", path_only=True)
     assert set(statuses(skipped)) == {"broken.parquet"}
-    operations = bronze.load_operations(bronze.read_file_log(spark, store), "2025-02-01", "2025-02-01 00:00:05")
-    assert {(r.operation_id, r.files_processed, r.rows_loaded) for r in operations.collect()} == {
-        (1, 5, 9), (2, 3, 4), (3, 0, 0)
+    operations = bronze.load_operations(spark, store).filter("feature_name = 'sales'")
+    assert {(r.operation_id, r.status, r.files_processed, r.rows_loaded) for r in operations.collect()} == {
+        (1, "COMPLETED", 5, 9), (2, "COMPLETED", 3, 4), (3, "COMPLETED", 0, 0)
     }
 
 
@@ -110,8 +110,8 @@ def test_fingerprints_change_with_content(spark, landing):
     path = next(p for p in found if p.endswith("/a.parquet"))
     with open(path, "rb") as handle:
         assert found[path].file_hash == hashlib.md5(handle.read()).hexdigest()
-    large = {r.file_path: r.file_hash for r in files.fingerprints(spark, str(landing), limit=10).collect()}
-    assert set(large.values()) == {None} and len(large) == len(found)
+    by_blocks = {r.file_path: r.file_hash for r in files.fingerprints(spark, str(landing), whole=10).collect()}
+    assert by_blocks == {k: r.file_hash for k, r in found.items()}
     listing = files.list_files(spark, str(landing))
     assert files.settled(listing, "2000-01-01 00:00:00").count() == 0
     assert files.settled(listing, "2100-01-01 00:00:00").count() == listing.count()
@@ -142,7 +142,7 @@ def test_stream_gives_the_rows_of_the_batch_load(spark, tmp_path):
     batch = BronzeStore(str(tmp_path / "bronze"), str(tmp_path / "logs"))
     bronze.load_bronze(spark, str(root), batch, 1, "2025-02-01 00:00:00")
     columns = ["DOCUMENT_NUMBER", "AMOUNT", "source_file_path"]
-    got = spark.read.parquet(streamed.tables).select(*columns).collect()
+    got = spark.read.parquet(streamed.table(DETAILED)).select(*columns).collect()
     want = spark.read.parquet(batch.table(DETAILED)).select(*columns).collect()
     assert sorted(got) == sorted(want) and len(got) == 4
     events = spark.read.parquet(streamed.log("file_watcher_logs"))
@@ -167,18 +167,18 @@ def test_upload_skips_unchanged_and_reloads_changed(spark, tmp_path):
     assert {k: (v.status, v.records_processed) for k, v in first.items()} == {
         "One-File.parquet": ("SUCCESS", 2), "two.parquet": ("SUCCESS", 1), "bad.parquet": ("FAILED", 0)
     }
-    assert first["One-File.parquet"].table_name.startswith("pos_tmp_")
-    assert first["One-File.parquet"].table_name.endswith("_out_sales_one_file")
+    folders = "_".join(part.lower() for part in tmp_path.parts[1:])
+    assert first["One-File.parquet"].table_name == f"pos_{folders}_out_sales_one_file"
     pq.write_table(pa.table({"a": [5, 6, 7]}), root / "One-File.parquet")
     second = run("2025-01-02 00:00:00")
     assert str(second["One-File.parquet"].processed_at).startswith("2025-01-02")
     assert str(second["two.parquet"].processed_at).startswith("2025-01-01")
-    table = spark.read.option("mergeSchema", True).parquet(target)
     name = first["One-File.parquet"].table_name
-    assert table.filter(F.col("table_name") == name).count() == 5
+    assert warehouse.read_uploaded(spark, target, name).count() == 5
+    run("2025-01-02 00:00:00")
+    assert warehouse.read_uploaded(spark, target, name).count() == 5
     run("2025-01-03 00:00:00", incremental=False, disposition=sinks.TRUNCATE)
-    table = spark.read.option("mergeSchema", True).parquet(target)
-    assert table.filter(F.col("table_name") == name).count() == 3
+    assert warehouse.read_uploaded(spark, target, name).count() == 3
     fourth = run("2025-01-04 00:00:00", incremental=False, disposition=sinks.EMPTY)
     assert {r.status for r in fourth.values()} == {"FAILED"}
     with pytest.raises(ValueError):
@@ -199,6 +199,8 @@ def test_load_table_dispositions(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
     sinks.write_state_json(df, str(tmp_path / "state"))
     assert sinks.read_state_json(spark, str(tmp_path / "state"), "n bigint").count() == 3
+    (tmp_path / "bad_state").write_text('{"n": 1}\n{"n": oops\n')
+    assert sorted(map(tuple, sinks.read_state_json(spark, str(tmp_path / "bad_state"), "n bigint").collect()), key=str) == [(1, None), (None, '{"n": oops')]
     assert sinks.read_state_json(spark, str(tmp_path / "no_state"), "n bigint").count() == 0
 
 
@@ -253,3 +255,76 @@ def test_row_position_is_unique(spark, tmp_path):
     spark.range(100).repartition(3).write.parquet(str(tmp_path / "t"))
     rows = files.read_with_row_id(spark, str(tmp_path / "t"))
     assert rows.select("_row_file", "_row_index").distinct().count() == 100
+
+
+def test_changed_file_counts_once(spark, tmp_path):
+    root = tmp_path / "landing" / "sales" / "cash_invoices" / "summarized" / "2025"
+    root.mkdir(parents=True)
+    bronze_store = BronzeStore(str(tmp_path / "bronze"), str(tmp_path / "logs"))
+    for batch, amounts in ((1, [10.0, 20.0]), (2, [10.0, 15.0, 5.0])):
+        n = len(amounts)
+        pq.write_table(pa.table({"DOCUMENT_NUMBER": [f"INV{i}" for i in range(n)], "CUS_CODE": ["C"] * n, "TRN_DATE": ["2025-01-31"] * n,
+                                 "AMOUNT": amounts, "BCODE": ["1"] * n}), root / "x.parquet")
+        bronze.load_bronze(spark, str(tmp_path / "landing"), bronze_store, batch, f"2025-02-0{batch} 00:00:00")
+    store = medallion.SilverStore(str(tmp_path / "silver"), str(tmp_path / "silver_logs"))
+    medallion.run_silver(spark, bronze_store, store, 1, "2025-02-03 00:00:00")
+    assert spark.read.parquet(store.table("summarized_invoices")).count() == 3
+    assert [str(r.total_sales) for r in spark.read.parquet(store.table("daily_sales_summary")).collect()] == ["30.00"]
+
+
+def test_new_checkpoint_and_batch_ids_do_not_collide(spark, tmp_path):
+    root = tmp_path / "landing" / "sales" / "cash_invoices" / "detailed"
+    root.mkdir(parents=True)
+    stream_store = BronzeStore(str(tmp_path / "bronze"), str(tmp_path / "logs"))
+    pq.write_table(pa.table({"DOCUMENT_NUMBER": ["a", "b"], "table_name": ["x", "y"]}), root / "a.parquet")
+    schema = spark.read.parquet(str(root / "a.parquet")).schema
+    for name in ("one", "two"):
+        stream_bronze(spark, str(tmp_path / "landing"), schema, stream_store, str(tmp_path / name), "2025-02-01 00:00:00").awaitTermination()
+        if name == "one":
+            pq.write_table(pa.table({"DOCUMENT_NUMBER": ["c"], "table_name": ["z"]}), root / "c.parquet")
+    with pytest.raises(ValueError):
+        bronze.load_bronze(spark, str(root), stream_store, bronze.FIRST_STREAM_BATCH, "2025-02-01 00:00:00")
+    rows = spark.read.parquet(stream_store.table("bronze_" + "sales_cash_invoices_detailed"))
+    current = bronze.current_rows(rows, bronze.read_file_log(spark, stream_store))
+    assert sorted((r.DOCUMENT_NUMBER, r.table_name) for r in current.collect()) == [("a", "x"), ("b", "y"), ("c", "z")]
+    assert bronze.load_bronze(spark, str(tmp_path / "landing"), stream_store, 1, "2025-02-02 00:00:00").count() == 0
+
+
+def test_names_with_special_characters_and_damaged_pages(spark, tmp_path):
+    month = tmp_path / "landing" / "sales" / "cash_invoices" / "detailed" / "2025 jan"
+    month.mkdir(parents=True)
+    for i, name in enumerate(("a b", "c%20d#e", "x{1},[y]+z", "ünï")):
+        pq.write_table(pa.table({"DOCUMENT_NUMBER": [f"INV{i}"], "source_file_path": ["theirs"]}), month / f"{name}.parquet")
+    good = pa.table({"DOCUMENT_NUMBER": [f"D{i}" for i in range(5000)], "source_file_path": ["theirs"] * 5000})
+    pq.write_table(good, month / "damaged.parquet", compression="none", use_dictionary=False)
+    raw = bytearray((month / "damaged.parquet").read_bytes())
+    raw[4:3000] = b"\xff" * 2996
+    (month / "damaged.parquet").write_bytes(bytes(raw))
+    store = BronzeStore(str(tmp_path / "bronze"), str(tmp_path / "logs"))
+    log = statuses(bronze.load_bronze(spark, str(tmp_path / "landing"), store, 1, "2025-02-01 00:00:00"))
+    assert log.pop("damaged.parquet")[0] == "FAILED" and set(log.values()) == {("SUCCESS", 1)} and len(log) == 4
+    rows = spark.read.parquet(store.table(DETAILED)).collect()
+    assert sorted(r.DOCUMENT_NUMBER for r in rows) == ["INV0", "INV1", "INV2", "INV3"]
+    assert all(r.source_file_path.endswith(".parquet") for r in rows)
+    uploaded = warehouse.upload(spark, str(tmp_path / "landing"), str(tmp_path / "wh"), str(tmp_path / "wl"), "2025-01-01 00:00:00")
+    found = {r.file_path.rsplit("/", 1)[-1]: (r.status, r.records_processed) for r in uploaded.collect()}
+    assert found.pop("damaged.parquet") == ("FAILED", 0) and set(found.values()) == {("SUCCESS", 1)}
+
+
+def test_upload_keeps_all_groups_of_a_truncated_table(spark, tmp_path):
+    root = tmp_path / "out"
+    root.mkdir()
+    pq.write_table(pa.table({"a": [1, 2], "table_name": ["p", "q"]}), root / "one-x.parquet")
+    pq.write_table(pa.table({"a": ["s"]}), root / "one_x.parquet")
+    pq.write_table(pa.table({"a": [1.5]}), root / "two.parquet")
+    for stamp in ("2025-01-01 00:00:00", "2025-01-02 00:00:00"):
+        log = warehouse.upload(spark, str(root), str(tmp_path / "wh"), str(tmp_path / "wl"), stamp, incremental=False, disposition=sinks.TRUNCATE)
+    names = {r.file_path.rsplit("/", 1)[-1]: r.table_name for r in log.collect()}
+    assert names["one-x.parquet"] == names["one_x.parquet"]
+    folder = tmp_path / "wh" / f"__table={names['one-x.parquet']}"
+    assert sum(pq.read_table(f).num_rows for f in folder.rglob("*.parquet")) == 3
+    again = warehouse.upload(spark, str(root), str(tmp_path / "wh"), str(tmp_path / "wl"), "2025-01-03 00:00:00", incremental=False, disposition=sinks.EMPTY)
+    assert {r.status for r in again.collect()} == {"FAILED"}
+    warehouse.upload(spark, str(root), str(tmp_path / "wh2"), str(tmp_path / "wl2"), "2025-01-01 00:00:00")
+    warehouse.upload(spark, str(root), str(tmp_path / "wh2"), str(tmp_path / "wl2"), "2025-01-02 00:00:00")
+    assert {r.status for r in warehouse.run_events(spark, str(tmp_path / "wl2"), "2025-01-02 00:00:00").collect()} == {"SKIPPED"}

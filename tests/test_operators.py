@@ -129,7 +129,7 @@ def test_issue_rows(spark):
     df = spark.createDataFrame([(" a",), ("b",)], "p string")
     issue = quality.issue_rows(quality.whitespace_profile(df), 4, "t", "2025-01-01 00:00:00").first()
     assert (issue.process_id, issue.issue_type, issue.affected_rows) == (4, "TRAILING_WHITESPACE", 1)
-    assert issue.issue_description == "Found 1 rows with trailing/leading whitespace"
+    assert issue.issue_description == "1 rows begin or end with white space"
     none = spark.createDataFrame([(0,)], "n long")
     assert quality.duplicate_issue(none, 4, "t", "2025-01-01 00:00:00").count() == 0
 

@@ -25,11 +25,16 @@ def strip_scheme(path: Column) -> Column:
     return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.\-]*:/+", "/")
 
 
+def source_path() -> Column:
+    """Path of the file a row comes from, as listings give it: without scheme and percent codes."""
+    return strip_scheme(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
+
 def relative_path(path: Column, root: str) -> Column:
     """Path below ``root``, without scheme or leading slash."""
     plain_root = "/" + root.split(":", 1)[-1].strip("/") + "/"
     plain = strip_scheme(path)
-    below = F.substring(plain, len(plain_root) + 1, 1_000_000)
+    below = F.substr(plain, F.lit(len(plain_root) + 1))
     return F.when(plain.startswith(plain_root), below).otherwise(F.regexp_replace(plain, "^/+", ""))
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 _COPIES = "__copies"
 _IDENTITY = ("__identity_a", "__identity_b")
 _FIRST = "__first"
+# Copies of one row that come out of one array.
+_PIECE = 1 << 16
 
 
 def _sortable(columns: Sequence[str]) -> list[Column]:
@@ -67,10 +69,13 @@ def flag_duplicates(
         return _flag_distinct_rows(df, _by_name(keys), order, row_id, flag)
     folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
     flagged = _flag_distinct_rows(folded, _by_name(keys), order, df.columns, flag)
-    first_copy = F.array(F.col(flag))
-    later_copies = F.array_repeat(F.lit(1), (F.col(_COPIES) - 1).cast("int"))
-    unfolded = flagged.withColumn(flag, F.explode(F.concat(first_copy, later_copies)))
-    return unfolded.select(*df.columns, flag)
+    # copies come back in pieces of bounded size, so that no array grows with a group
+    full = F.floor(F.col(_COPIES) / _PIECE)
+    pieced = flagged.withColumn(_FIRST, F.explode(F.sequence(F.lit(0).cast("bigint"), full)))
+    size = F.least(F.lit(_PIECE).cast("bigint"), F.col(_COPIES) - F.col(_FIRST) * _PIECE).cast("int")
+    first = F.when(F.col(_FIRST) == 0, F.col(flag)).otherwise(F.lit(1))
+    flags = F.when(size > 0, F.concat(F.array(first), F.array_repeat(F.lit(1), size - 1))).otherwise(F.array().cast("array<int>"))
+    return pieced.withColumn(flag, F.explode(flags)).select(*df.columns, flag)
 
 
 def _by_name(keys: Sequence[str] | dict[str, Column]) -> dict[str, Column]:

@@ -14,6 +14,8 @@ from tillstone.operators.duplicates import dedup_keep_first
 STARTED, SUCCESS, FAILED, COMPLETED = "STARTED", "SUCCESS", "FAILED", "COMPLETED"
 NEW, CHANGED, UNCHANGED = "NEW", "CHANGED", "UNCHANGED"
 
+_INCOMING = "__incoming"
+
 
 def new_files(listing: DataFrame, manifest: DataFrame, key: str = "file_path") -> DataFrame:
     """Listed files that were never loaded successfully. Failed files come up again."""
@@ -51,8 +53,9 @@ def without_orphans(manifest: DataFrame, listing: DataFrame, key: str = "file_pa
 
 
 def upsert_latest(manifest: DataFrame, rows: DataFrame, key: str, order: str) -> DataFrame:
-    """Latest row per key over the old manifest and the new rows."""
-    return latest(manifest.unionByName(rows, allowMissingColumns=True), [key], [order])
+    """Latest row per key over the old manifest and the new rows; at equal stamps the new row wins."""
+    both = manifest.withColumn(_INCOMING, F.lit(0)).unionByName(rows.withColumn(_INCOMING, F.lit(1)), allowMissingColumns=True)
+    return latest(both, [key], [order, _INCOMING]).drop(_INCOMING)
 
 
 def latest(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

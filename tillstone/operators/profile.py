@@ -152,7 +152,7 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def head(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+    return df.orderBy(*[F.col(name).asc_nulls_last() for name in order]).limit(n)
 
 
 def tail(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -82,7 +82,7 @@ def issue_rows(
         F.lit(table_name).alias("table_name"),
         "column_name",
         F.lit(TRAILING_WHITESPACE).alias("issue_type"),
-        F.format_string("Found %d rows with trailing/leading whitespace", rows).alias("issue_description"),
+        F.format_string("%d rows begin or end with white space", rows).alias("issue_description"),
         rows.cast("bigint").alias("affected_rows"),
         "sample_data",
         F.lit(logged_at).cast("timestamp_ntz").alias("logged_at"),
@@ -95,7 +95,7 @@ def duplicate_issue(
     """Issue-log row for a duplicate count; no row when nothing was found."""
     count = F.col(groups.columns[0])
     kind = DUPLICATES_REMOVED if removed else POTENTIAL_DUPLICATES
-    text = "Removed %d duplicate rows" if removed else "Found %d potential duplicate transactions for business review"
+    text = "%d later rows of repeated keys left out" if removed else "%d keys occur more than once"
     return groups.filter(count > 0).select(
         F.lit(process_id).cast("int").alias("process_id"),
         F.lit(table_name).alias("table_name"),

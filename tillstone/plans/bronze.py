@@ -15,15 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstone.functions.naming import bronze_table_name, feature_name, relative_path, strip_scheme
-from tillstone.operators.manifest import COMPLETED, FAILED, SUCCESS, files_to_process, new_files
+from tillstone.functions.naming import bronze_table_name, feature_name, quoted, relative_path, source_path
+from tillstone.operators.manifest import COMPLETED, FAILED, STARTED, SUCCESS, files_to_process, latest, new_files
 from tillstone.operators.schema_evolution import LINEAGE, schema_diff, schema_rows, widens_to
 from tillstone.sources.files import (
+    damaged_files,
     file_row_counts,
     file_schemas,
     fingerprints,
     group_schema,
     list_files,
+    readable,
     schema_groups,
 )
 from tillstone.sources.sinks import read_table_or_none
@@ -31,6 +33,14 @@ from tillstone.sources.sinks import read_table_or_none
 # Features in load order.
 FEATURES = ("sales", "supplies", "inventory")
 
+# Batch ids from here on belong to streams, so that a load never writes into a stream's partitions.
+FIRST_STREAM_BATCH = 1_000_000_000
+_SOURCE = "__source_file"
+
+OPERATION_SCHEMA = (
+    "operation_id int, feature_name string, status string, files_processed int, rows_loaded bigint, "
+    "started_at timestamp_ntz, completed_at timestamp_ntz, error_message string"
+)
 FILE_LOG_SCHEMA = (
     "file_path string, file_size bigint, last_modified timestamp, file_hash string, table_name string, feature string, "
     "records_count bigint, processed_at timestamp_ntz, status string, error_message string, operation_id int"
@@ -53,8 +63,10 @@ class BronzeStore:
 
 def with_lineage(df: DataFrame, load_timestamp: str, batch_id: int) -> DataFrame:
     """Source file, load time and batch next to the file's own columns."""
-    if "source_file_path" not in df.columns:
-        df = df.select("*", strip_scheme(F.col("_metadata.file_path")).alias("source_file_path"))
+    if _SOURCE in df.columns:
+        df = df.drop("source_file_path").withColumnRenamed(_SOURCE, "source_file_path")
+    elif "source_file_path" not in df.columns:
+        df = df.select("*", source_path().alias("source_file_path"))
     return df.withColumns({
         "load_timestamp": F.lit(load_timestamp).cast("timestamp_ntz"),
         "batch_id": F.lit(batch_id).cast("int"),
@@ -100,7 +112,7 @@ def _misfits(df: DataFrame, names: Sequence[str], target: T.StructType) -> DataF
     types = {field.name: field.dataType for field in target.fields}
     lost = [F.col(n).isNotNull() & F.col(n).try_cast(types[n]).isNull() for n in names]
     bad = df.filter(reduce(Column.__or__, lost))
-    return bad.groupBy(strip_scheme(F.col("_metadata.file_path")).alias("file_path")).agg(
+    return bad.groupBy(source_path().alias("file_path")).agg(
         F.lit("a value does not fit the table's type").alias("error_message")
     )
 
@@ -130,15 +142,14 @@ def _read_group(
     spark: SparkSession, uris: Sequence[str], source: T.StructType, target: T.StructType
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of files that share a schema, in the table's types, and the files that do not fit."""
-    path = strip_scheme(F.col("_metadata.file_path"))
-    frame = spark.read.option("recursiveFileLookup", True).schema(source).parquet(*uris)
+    frame = spark.read.option("recursiveFileLookup", True).schema(source).parquet(*readable(uris))
     narrowing = _narrowing(source, target)
     misfits = _misfits(frame, narrowing, target) if narrowing else None
-    rows = frame.select("*", path.alias("source_file_path"))
+    typed = [F.col(quoted(name)).try_cast(target[name].dataType).alias(name) for name in source.names if name not in LINEAGE]
+    rows = frame.select(*typed, source_path().alias(_SOURCE))
     if misfits is not None:
-        rows = rows.join(misfits.select(F.col("file_path").alias("source_file_path")), "source_file_path", "left_anti")
-    typed = [F.col(name).try_cast(target[name].dataType).alias(name) for name in source.names]
-    return rows.select(*typed, "source_file_path"), misfits
+        rows = rows.join(misfits.select(F.col("file_path").alias(_SOURCE)), _SOURCE, "left_anti")
+    return rows, misfits
 
 
 def _file_log(
@@ -166,6 +177,24 @@ def _file_log(
     )
 
 
+def _log_operations(spark: SparkSession, store: BronzeStore, rows: DataFrame | list[dict]) -> None:
+    if isinstance(rows, list):
+        text = OPERATION_SCHEMA.replace("timestamp_ntz", "string")
+        names = T.StructType.fromDDL(text).names
+        rows = spark.createDataFrame([{**dict.fromkeys(names), **row} for row in rows], text)
+    columns = T.StructType.fromDDL(OPERATION_SCHEMA)
+    write_batch(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns]), store.log("load_operations"), ("operation_id", "status"))
+
+
+def load_operations(spark: SparkSession, store: BronzeStore) -> DataFrame:
+    """Latest state of every batch and feature: STARTED, COMPLETED or FAILED."""
+    events = read_table_or_none(spark, store.log("load_operations"))
+    if events is None:
+        return spark.createDataFrame([], OPERATION_SCHEMA)
+    ended = events.withColumn("__ended", F.col("completed_at").isNotNull())
+    return latest(ended, ["operation_id", "feature_name"], ["__ended", "completed_at"]).drop("__ended")
+
+
 def load_bronze(
     spark: SparkSession,
     root: str,
@@ -179,22 +208,66 @@ def load_bronze(
 
     Changed means another size or modification time; ``path_only`` never reloads a known path.
     A file that cannot be read, or holds values its table cannot take, is logged as FAILED and does
-    not stop the others. Spark's own file index keeps the paths of a read on the driver, so the
-    new files of one batch are named there as well; contents and counts stay on executors.
+    not stop the others. The operation log gets STARTED first, and COMPLETED or FAILED at the end.
+    Spark's own file index keeps the paths of a read on the driver, so the new files of one batch are
+    named there as well; contents and counts stay on executors.
     """
+    if batch_id >= FIRST_STREAM_BATCH:
+        raise ValueError(f"batch ids from {FIRST_STREAM_BATCH} on belong to streams")
+    started = [{"operation_id": batch_id, "feature_name": f, "status": STARTED, "started_at": load_timestamp} for f in features]
+    _log_operations(spark, store, started)
+    try:
+        log = _load(spark, root, store, batch_id, load_timestamp, features, path_only)
+    except Exception as error:
+        _log_operations(spark, store, [{**row, "status": FAILED, "completed_at": load_timestamp, "error_message": str(error)} for row in started])
+        raise
+    loaded = F.col("status") == SUCCESS
+    figures = log.groupBy(F.col("feature").alias("feature_name")).agg(
+        F.count_if(loaded).cast("int").alias("files_processed"), F.sum(F.when(loaded, F.col("records_count"))).alias("rows_loaded"))
+    named = spark.createDataFrame([(f,) for f in features], "feature_name string")
+    stamp = F.lit(load_timestamp)
+    _log_operations(spark, store, named.join(figures, "feature_name", "left").select(
+        F.lit(batch_id).alias("operation_id"), "feature_name", F.lit(COMPLETED).alias("status"),
+        F.coalesce("files_processed", F.lit(0)).alias("files_processed"), F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
+        stamp.alias("started_at"), stamp.alias("completed_at"), F.lit(None).cast("string").alias("error_message")))
+    return log
+
+
+def _load(
+    spark: SparkSession, root: str, store: BronzeStore, batch_id: int, load_timestamp: str, features: Sequence[str], path_only: bool
+) -> DataFrame:
     listing = landing_files(spark, root, features)
     previous = read_file_log(spark, store)
     previous = previous.filter((F.col("operation_id") != batch_id) & (F.col("status") == SUCCESS))
     if path_only:
         todo = new_files(listing, previous)
     else:
+        newest = F.struct("processed_at", "operation_id")
         loaded = previous.groupBy("file_path").agg(
-            F.max_by("file_size", "operation_id").alias("file_size"),
-            F.max_by("last_modified", "operation_id").alias("last_modified"),
+            F.max_by("file_size", newest).alias("file_size"),
+            F.max_by("last_modified", newest).alias("last_modified"),
         )
         todo = files_to_process(listing, loaded, by=("file_size", "last_modified"))
     files, schemas = _batch_schemas(spark, store, todo, batch_id)
-
+    try:
+        return _load_files(spark, store, files, schemas, batch_id, load_timestamp)
+    except Exception:
+        # a good footer does not say that all pages can be read: find the files that stopped the batch
+        bad = damaged_files(files.join(schemas.filter(F.col("error_message").isNotNull()), "file_path", "left_anti"))
+        write_batch(bad.withColumn("batch_id", F.lit(batch_id)), store.log("damaged_files"))
+        found = read_table_or_none(spark, store.log("damaged_files"))
+        found = None if found is None else found.filter(F.col("batch_id") == batch_id).drop("batch_id")
+        if found is None or found.isEmpty():
+            raise
+        sound = schemas.join(found.select("file_path"), "file_path", "left_anti")
+        errors = found.select("file_path", F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("column_name"),
+                              F.lit(None).cast("string").alias("data_type"), "error_message")
+        return _load_files(spark, store, files, sound.unionByName(errors), batch_id, load_timestamp)
+
+
+def _load_files(
+    spark: SparkSession, store: BronzeStore, files: DataFrame, schemas: DataFrame, batch_id: int, load_timestamp: str
+) -> DataFrame:
     failures = [schemas.filter(F.col("error_message").isNotNull()).select("file_path", "error_message")]
     tables: dict[str, list] = {}
     for group in schema_groups(schemas, files, ["table_name"]).orderBy("table_name", "first_path").collect():
@@ -218,6 +291,7 @@ def load_bronze(
         write_batch(with_lineage(rows, load_timestamp, batch_id), store.table(table_name))
         if changes:
             log = reduce(DataFrame.unionByName, changes).select(
+                F.lit(table_name.split("_")[1] if "_" in table_name else table_name).alias("feature_name"),
                 F.lit(table_name).alias("table_name"), "change_type", "column_name", "old_data_type", "new_data_type",
                 F.lit(load_timestamp).cast("timestamp_ntz").alias("change_date"), F.lit(batch_id).alias("operation_id"),
             )
@@ -228,21 +302,26 @@ def load_bronze(
     return read_file_log(spark, store).filter(F.col("operation_id") == batch_id)
 
 
-def load_operations(file_log: DataFrame, started_at: str, completed_at: str) -> DataFrame:
-    """One row per batch and feature over a file log."""
-    loaded = F.col("status") == SUCCESS
-    return file_log.groupBy("operation_id", F.col("feature").alias("feature_name")).agg(
-        F.count_if(loaded).cast("int").alias("files_processed"),
-        F.coalesce(F.sum(F.when(loaded, F.col("records_count"))), F.lit(0)).alias("rows_loaded"),
-        F.lit(started_at).cast("timestamp_ntz").alias("started_at"),
-        F.lit(completed_at).cast("timestamp_ntz").alias("completed_at"),
-        F.lit(COMPLETED).alias("status"),
-    )
-
-
 def current_rows(bronze: DataFrame, file_log: DataFrame) -> DataFrame:
-    """Rows of each file's latest load, where a changed file was loaded more than once."""
-    newest = file_log.filter(F.col("status") == SUCCESS).groupBy(F.col("file_path").alias("source_file_path")).agg(
-        F.max("operation_id").alias("batch_id")
-    )
-    return bronze.join(newest, ["source_file_path", "batch_id"], "left_semi")
+    """Rows of each file's latest load, where a changed file was loaded more than once.
+
+    Rows of files that the log does not name stay.
+    """
+    loads = file_log.filter(F.col("status") == SUCCESS).select(F.col("file_path").alias("source_file_path"), F.col("operation_id").alias("batch_id"), "processed_at")
+    newest = loads.groupBy("source_file_path").agg(F.max_by("batch_id", F.struct("processed_at", "batch_id")).alias("__newest"))
+    older = loads.join(newest, "source_file_path").filter(F.col("batch_id") != F.col("__newest")).select("source_file_path", "batch_id").distinct()
+    return bronze.join(older, ["source_file_path", "batch_id"], "left_anti")
+
+
+def next_stream_batch(spark: SparkSession, store: BronzeStore, stream: str) -> int:
+    """First batch id of a stream: as logged for its checkpoint, or after all that streams have used."""
+    known = read_table_or_none(spark, store.log("streams"))
+    if known is not None:
+        held = known.filter(F.col("stream") == stream).agg(F.min("first_batch_id")).first()[0]
+        if held is not None:
+            return held
+    used = read_file_log(spark, store).agg(F.max("operation_id")).first()[0] or 0
+    reserved = 0 if known is None else known.agg(F.max("first_batch_id")).first()[0] or 0
+    first = max(FIRST_STREAM_BATCH, used + 1, reserved + 1)
+    write_batch(spark.createDataFrame([(stream, first)], "stream string, first_batch_id int"), store.log("streams"), ("first_batch_id",))
+    return first

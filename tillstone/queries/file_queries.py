@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstone.functions.naming import bronze_table_name, file_name, relative_path, safe_sheet_name, warehouse_table_name
-from tillstone.operators import profile
-from tillstone.plans import bronze, medallion, warehouse
+from tillstone.operators import oplog, profile, quality
+from tillstone.plans import bronze, medallion, silver, warehouse
 from tillstone.queries import silver_sql as sql
 from tillstone.queries.registry import CHECKS, query
 from tillstone.session import working_folder
@@ -24,7 +24,7 @@ from tillstone.sources.tables import (
 )
 from tillstone.streaming.bronze_stream import stream_bronze
 
-_LOADED = "2025-01-01 00:00:00"
+_LOADED, _RELOADED = "2025-01-01 00:00:00", "2025-01-02 00:00:00"
 
 
 @query("scan_lineitem", "SELECT *, 'lineitem.parquet' AS source_file FROM lineitem")
@@ -106,37 +106,132 @@ def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.groupBy("table_name", "status").agg(F.sum("records_count").alias("records_count"))
 
 
+def _silver(spark: SparkSession) -> medallion.SilverStore:
+    return medallion.SilverStore(working_folder(spark, "silver"), working_folder(spark, "silver-logs"))
+
+
 @query("medallion_daily_summary", None)
 def medallion_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _store(spark)
+    store, silver_store = _store(spark), _silver(spark)
     bronze.load_bronze(spark, _landing(spark, sf_dir), store, 1, _LOADED)
-    silver_store = medallion.SilverStore(working_folder(spark, "silver"), working_folder(spark, "silver-logs"))
     medallion.run_silver(spark, store, silver_store, sql.PROCESS_ID, sql.STAMP)
     return spark.read.parquet(silver_store.table("daily_sales_summary"))
 
 
-@query("stream_bronze", f"""SELECT *, 'bronze_orders.parquet' AS table_name, 'orders.parquet' AS source_file,
-  TIMESTAMP '{_LOADED}' AS load_timestamp, 0 AS batch_id FROM orders""")
+@query("medallion_after_change", None)
+def medallion_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the rows landed, loaded, exported again with the rest under the same names, and loaded again."""
+    root, store, silver_store = working_folder(spark, "landing"), _store(spark), _silver(spark)
+    views = {"summarized": bronze_summarized, "detailed": bronze_detailed}
+    for batch, stamp in ((1, _LOADED), (2, _RELOADED)):
+        for grain, view in views.items():
+            rows = view(spark, sf_dir).drop("source_file_path", "load_timestamp", "batch_id")
+            if batch == 1:
+                rows = rows.filter(F.pmod(F.xxhash64("DOCUMENT_NUMBER"), F.lit(2)) == 0)
+            # one file of a fixed name: what a re-export overwrites
+            _export(spark, rows, f"{root}/sales/cash_invoices/{grain}/2025/january/export.parquet")
+        bronze.load_bronze(spark, root, store, batch, stamp)
+    medallion.run_silver(spark, store, silver_store, sql.PROCESS_ID, sql.STAMP)
+    return spark.read.parquet(silver_store.table("daily_sales_summary"))
+
+
+def _export(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Rows as a single file of a given name, as the exporting program writes it."""
+    staged = working_folder(spark, "export")
+    rows.coalesce(1).write.parquet(staged)
+    written = files.list_files(spark, staged).select("uri").collect()
+    sinks.move_file(spark, written[0].uri, path)
+
+
+@query("medallion_from_stream", None)
+def medallion_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both grains streamed into bronze, each with a checkpoint of its own, then the silver run."""
+    root, store, silver_store = _landing(spark, sf_dir), _store(spark), _silver(spark)
+    for grain in ("summarized", "detailed"):
+        schema = spark.read.parquet(f"{root}/sales/cash_invoices/{grain}/2025/january").schema
+        stream_bronze(spark, root, schema, store, working_folder(spark, "stream"), _LOADED,
+                      glob="*.parquet", folder=f"sales/cash_invoices/{grain}").awaitTermination()
+    medallion.run_silver(spark, store, silver_store, sql.PROCESS_ID, sql.STAMP)
+    return spark.read.parquet(silver_store.table("daily_sales_summary"))
+
+
+@query("load_operations", sql.with_tables(SQL_BRONZE_SUMMARIZED, SQL_BRONZE_DETAILED) + """SELECT feature_name, 'COMPLETED' AS status,
+  CASE WHEN feature_name = 'sales' THEN (SELECT COUNT(*) FROM bronze_summarized) + (SELECT COUNT(*) FROM bronze_detailed) ELSE 0 END AS rows_loaded
+FROM (SELECT unnest(['sales', 'supplies', 'inventory']) AS feature_name)""")
+def load_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark)
+    bronze.load_bronze(spark, _landing(spark, sf_dir), store, 1, _LOADED)
+    return bronze.load_operations(spark, store).select("feature_name", "status", "rows_loaded")
+
+
+@query("duplicates_removed_log", sql.with_tables(SQL_BRONZE_SUMMARIZED, SQL_BRONZE_DETAILED) + """SELECT 'detailed_invoices' AS target_table,
+  (SELECT COUNT(*) - COUNT(DISTINCT (coalesce(trim(DOCUMENT_NUMBER), '~'), coalesce(trim(ITEM_CODE), '~'), coalesce(trim(TRN_DATE), '~'),
+     coalesce(trim(CAST(AMOUNT AS VARCHAR)), '~'))) FROM bronze_detailed) AS removed_rows""")
+def duplicates_removed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the removal of duplicates left out, as its log says."""
+    store, silver_store = _store(spark), _silver(spark)
+    bronze.load_bronze(spark, _landing(spark, sf_dir), store, 1, _LOADED)
+    medallion.clean_grain(spark, store, silver_store, "detailed", silver.Run(sql.PROCESS_ID, sql.STAMP), remove_duplicates=True)
+    log = spark.read.parquet(silver_store.log("data_quality_log")).filter(F.col("issue_type") == quality.DUPLICATES_REMOVED)
+    return log.select(F.lit("detailed_invoices").alias("target_table"), F.col("affected_rows").alias("removed_rows"))
+
+
+@query("stream_bronze", f"""SELECT *, 'orders.parquet' AS source_file,
+  TIMESTAMP '{_LOADED}' AS load_timestamp, 1000000000 AS batch_id FROM orders""")
 def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read_table(spark, sf_dir, "orders").schema
     store = _store(spark)
     stream_bronze(
         spark, sf_dir, schema, store, working_folder(spark, "stream"), _LOADED, glob="orders.parquet"
     ).awaitTermination()
-    loaded = spark.read.parquet(store.tables)
+    loaded = spark.read.parquet(store.table("bronze_orders.parquet"))
     return loaded.withColumn("source_file", file_name(F.col("source_file_path"))).drop("source_file_path")
 
 
-@query("warehouse_upload", " UNION ALL ".join(
+@query("warehouse_upload", "SELECT 'loaded' AS state, * FROM orders")
+def warehouse_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table after every file was uploaded and a second run found nothing to do."""
+    target, log_path = working_folder(spark, "warehouse"), working_folder(spark, "upload-log")
+    warehouse.upload(spark, sf_dir, target, log_path, _LOADED)
+    log = warehouse.upload(spark, sf_dir, target, log_path, _RELOADED)
+    name = log.filter(file_name(F.col("file_path")) == "orders.parquet").first().table_name
+    return warehouse.read_uploaded(spark, target, name).select(F.lit("loaded").alias("state"), "*")
+
+
+@query("warehouse_upload_log", " UNION ALL ".join(
     f"""SELECT '{table}.parquet' AS file_name, 'SUCCESS' AS status, COUNT(*) AS records_processed FROM {table}"""
     for table in TABLES))
-def warehouse_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
+def warehouse_upload_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = warehouse.upload(
         spark, sf_dir, working_folder(spark, "warehouse"), working_folder(spark, "upload-log"), _LOADED
     )
     return log.select(file_name(F.col("file_path")).alias("file_name"), "status", "records_processed")
 
 
+@query("upload_rerun_stats", f"""SELECT {len(TABLES)}::BIGINT AS total_files, 0::BIGINT AS successful_files, 0::BIGINT AS failed_files,
+  {len(TABLES)}::BIGINT AS skipped_files, (SELECT COUNT(*) FROM lineitem) AS lineitem_rows""")
+def upload_rerun_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of a second run over unchanged files, next to the rows that the tables then hold."""
+    target, log_path = working_folder(spark, "warehouse"), working_folder(spark, "upload-log")
+    warehouse.upload(spark, sf_dir, target, log_path, _LOADED)
+    log = warehouse.upload(spark, sf_dir, target, log_path, _RELOADED)
+    events = warehouse.run_events(spark, log_path, _RELOADED).withColumn("run_id", F.lit(2))
+    name = log.filter(file_name(F.col("file_path")) == "lineitem.parquet").first().table_name
+    rows = warehouse.read_uploaded(spark, target, name).count()
+    stats = oplog.upload_run_stats(events)
+    return stats.select("total_files", "successful_files", "failed_files", "skipped_files", F.lit(rows).cast("bigint").alias("lineitem_rows"))
+
+
+@query("file_fingerprints", " UNION ALL ".join(f"SELECT '{table}.parquet' AS file_name, true AS same_hash" for table in TABLES))
+def file_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each file has the same hash when Spark hashes it whole and when a task reads it by blocks."""
+    whole = files.fingerprints(spark, sf_dir)
+    blocks = files.fingerprints(spark, sf_dir, whole=-1).select("file_path", F.col("file_hash").alias("by_blocks"))
+    named = file_name(F.col("file_path"))
+    return whole.join(blocks, "file_path").filter(named.isin([f"{t}.parquet" for t in TABLES])).select(
+        named.alias("file_name"), (F.col("file_hash") == F.col("by_blocks")).alias("same_hash"))
+
+
 @query("sink_silver_files", "SELECT * FROM lineitem")
 def sink_silver_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = working_folder(spark, "silver-files")
@@ -169,5 +264,6 @@ def sample_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.tail(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 20)
 
 
-# The run through files must end in the same summary as the direct query.
-CHECKS["medallion_daily_summary"] = CHECKS["daily_sales_summary"]
+# The runs through files must end in the same summary as the direct query.
+for _name in ("medallion_daily_summary", "medallion_after_change", "medallion_from_stream"):
+    CHECKS[_name] = CHECKS["daily_sales_summary"]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -12,12 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstone.functions.naming import strip_scheme
+from tillstone.functions.naming import source_path, strip_scheme
 
 PARQUET_GLOB = "*.parquet"
 WORKBOOK_GLOB = "*.{xls,xlsx,xlsm,xlsb}"
-# binaryFile puts a file in one row; larger ones are told apart by size and time alone.
-HASH_LIMIT_BYTES = 512 * 1024 * 1024
+# Spark puts a file up to this size in one row to hash it; a larger one is read by blocks in a task.
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
+BLOCK_BYTES = 8 * 1024 * 1024
 FILES_PER_READ = 10_000
 
 LISTING_SCHEMA = "file_path string, uri string, file_size bigint, last_modified timestamp"
@@ -58,7 +61,7 @@ def scan_tree(
         if _missing_path(error):
             return None
         raise
-    return rows.select("*", strip_scheme(F.col("_metadata.file_path")).alias("source_file_path"))
+    return rows.select("*", source_path().alias("source_file_path"))
 
 
 def list_files(spark: SparkSession, root: str | Sequence[str], glob: str = PARQUET_GLOB) -> DataFrame:
@@ -80,8 +83,31 @@ def settled(listing: DataFrame, now: str, delay_seconds: int = 30) -> DataFrame:
     return listing.filter(F.col("last_modified") <= cutoff)
 
 
-def fingerprints(spark: SparkSession, root: str, glob: str = PARQUET_GLOB, limit: int = HASH_LIMIT_BYTES) -> DataFrame:
-    """Listing with the MD5 of each file's bytes; NULL for files above ``limit`` bytes."""
+def open_file(uri: str):
+    """A listed file for reading by blocks or at random, from inside a task."""
+    import pyarrow.fs as fs
+
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file("/" + uri[len("file:"):].lstrip("/"))
+    scheme, _, rest = re.sub("^s3[an]:", "s3:", uri).partition(":")
+    system, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    return system.open_input_file(inner)
+
+
+def _hash_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for uri in batch["uri"].to_pylist():
+            digest = hashlib.md5()
+            with open_file(uri) as handle:
+                while block := handle.read(BLOCK_BYTES):
+                    digest.update(block)
+            found.append(digest.hexdigest())
+        yield batch.append_column("file_hash", pa.array(found, pa.string()))
+
+
+def fingerprints(spark: SparkSession, root: str, glob: str = PARQUET_GLOB, whole: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Listing with the MD5 of each file's bytes, whatever its size."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     try:
         files = reader.load(root)
@@ -90,17 +116,42 @@ def fingerprints(spark: SparkSession, root: str, glob: str = PARQUET_GLOB, limit
             return spark.createDataFrame([], LISTING_SCHEMA + ", file_hash string")
         raise
     columns = _listing_columns()
-    hashed = files.filter(F.col("length") <= limit).select(*columns, F.md5("content").alias("file_hash"))
-    large = files.filter(F.col("length") > limit).select(*columns, F.lit(None).cast("string").alias("file_hash"))
+    hashed = files.filter(F.col("length") <= whole).select(*columns, F.md5("content").alias("file_hash"))
+    large = files.filter(F.col("length") > whole).select(*columns).mapInArrow(_hash_blocks, LISTING_SCHEMA + ", file_hash string")
     return hashed.unionByName(large)
 
 
+def readable(uris: Sequence[str]) -> list[str]:
+    """Paths for a Parquet reader, with the characters it would take for a pattern escaped."""
+    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", uri) for uri in uris]
+
+
+def _read_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        rows = []
+        for uri, path in zip(batch["uri"].to_pylist(), batch["file_path"].to_pylist()):
+            try:
+                with open_file(uri) as handle:
+                    for _ in pq.ParquetFile(handle).iter_batches():
+                        pass
+            except Exception as error:
+                rows.append((path, str(error)))
+        yield pa.record_batch([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["file_path", "error_message"])
+
+
+def damaged_files(files: DataFrame) -> DataFrame:
+    """Listed files whose rows cannot all be read, with the error; each is read by itself in a task."""
+    return files.select("uri", "file_path").mapInArrow(_read_whole, "file_path string, error_message string")
+
+
 def file_row_counts(df: DataFrame) -> DataFrame:
     """Rows per source file of a scan; no data column is read."""
     if "source_file_path" in df.columns:
         path = F.col("source_file_path")
     else:
-        path = strip_scheme(F.col("_metadata.file_path"))
+        path = source_path()
     return df.groupBy(path.alias("file_path")).agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -114,7 +165,6 @@ def read_with_row_id(spark: SparkSession, path: str, row_id: tuple[str, str] = (
 
 def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Column names and types from Parquet footers; an unreadable file becomes one error row."""
-    import pyarrow.fs as fs
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_type
 
@@ -122,15 +172,13 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for uri, path in zip(batch["uri"].to_pylist(), batch["file_path"].to_pylist()):
             try:
-                address = re.sub("^file:/+", "file:///", re.sub("^s3[an]:", "s3:", uri))
-                system, inner = fs.FileSystem.from_uri(address)
-                with system.open_input_file(inner) as handle:
+                with open_file(uri) as handle:
                     schema = pq.read_schema(handle)
                 for position, field in enumerate(schema):
                     kind = from_arrow_type(field.type, prefer_timestamp_ntz=True).simpleString()
                     rows.append((path, position, field.name, kind, None))
             except Exception as error:
-                rows.append((path, None, None, None, str(error)[:500]))
+                rows.append((path, None, None, None, str(error)))
         names = ["file_path", "position", "column_name", "data_type", "error_message"]
         types = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()]
         columns = zip(*rows) if rows else [[] for _ in names]

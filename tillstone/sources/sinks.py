@@ -8,12 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tillstone.session import working_folder
-
 # Fixed values.
 LANDING_CODEC = "snappy"
 SILVER_CODEC = "zstd"
 SILVER_ZSTD_LEVEL = "3"
+CORRUPT_LINE = "corrupt_line"
 APPEND, TRUNCATE, EMPTY = "WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY"
 
 
@@ -52,14 +51,26 @@ def load_table(df: DataFrame, path: str, disposition: str = APPEND) -> None:
     write_tree(df, path, mode=modes[disposition])
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Overwrite a table with rows that may be computed from its present contents.
+def delete_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Delete files or folders in whatever store they are; returns those that were there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    gone = []
+    for path in paths:
+        target = hadoop.fs.Path(path)
+        if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True):
+            gone.append(path)
+    return gone
 
-    The rows are written beside it first, so the table is never read and overwritten at once.
-    """
-    staged = working_folder(df.sparkSession, "staged")
-    df.write.parquet(staged)
-    write_tree(df.sparkSession.read.parquet(staged), path, codec=SILVER_CODEC)
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file to a path, in place of what is there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    old, new = hadoop.fs.Path(source), hadoop.fs.Path(target)
+    system = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(new.getParent())
+    system.delete(new, False)
+    if not system.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
 def export_csv(df: DataFrame, path: str, n: int | None = None) -> None:
@@ -69,9 +80,14 @@ def export_csv(df: DataFrame, path: str, n: int | None = None) -> None:
 
 
 def read_state_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Manifest rows from JSON lines; an unreadable or missing file gives an empty manifest."""
+    """Manifest rows from JSON lines; a missing file gives an empty manifest.
+
+    A line that is not valid is kept whole in ``corrupt_line``, with NULL in the other columns.
+    """
+    columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    schema = T.StructType([*columns.fields, T.StructField(CORRUPT_LINE, T.StringType())])
     try:
-        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+        return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_LINE).json(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             return spark.createDataFrame([], schema)
