@@ -1,8 +1,8 @@
 """Removal of repeated byte strings by blockwise suffix sorting with a difference cover.
 
 Two suffixes that agree on ``window`` bytes have the same anchor (leftmost least gram) in those bytes, at
-the same distance. So suffixes are dealt into buckets by their anchor and the bytes on the side of it
-that reaches further, and only suffixes of one bucket can agree. A run of suffixes of one text with one
+the same distance. So suffixes are dealt into buckets by their anchor (where it is crowded, also by the
+bytes on the side of it that reaches further), and only suffixes of one bucket can agree. A run of suffixes of one text with one
 anchor travels as one piece of text, not suffix by suffix. Runs whose whole bytes occur again are
 repeats as they stand and are folded by Spark; of a bucket, only pieces with different bytes are sorted.
 
@@ -11,7 +11,8 @@ a multiple of the cover's period. Ranks of the cover sample (positions whose res
 difference cover) are computed first, to the depth that is needed; then the block's suffixes are sorted
 by their first 64 bytes, and ties are resolved by the ranks of the next cover positions, which equal
 suffixes reach after equally many bytes. No text is compared beyond 64 bytes, and memory is bounded by
-the block, apart from a bucket that is larger than a block by itself.
+the block, apart from a bucket that is larger than a block by itself. Suffixes whose hash occurs once in
+the block are settled without being sorted.
 
 Results: one row per input row, decided on the input as it is. A null text is empty. A repeated row is
 text that occurs again. Rows without id are kept as rows. Other columns are not looked at.
@@ -27,19 +28,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import cut, signed, small
+from tillstone.llm.common import cut, lists, signed, small
 from tillstone.llm.kernels import U64, Prefix, anchor_runs, byte_values, mix, slices
-from tillstone.llm.substring_dedup import KEY, LAST_ID, keyed, struct_lists
+from tillstone.llm.substring_dedup import KEY, LAST_ID, keyed
 
 WINDOW = 400
 GRAM = 48
 PERIOD = 64
 SHORT = 64
+DEPTH = 256
 BLOCK_BYTES = 4 << 20
 
-RUN_TYPE = pa.list_(pa.struct([("anchor", pa.int64()), ("content", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("at", pa.int32())]))
+# Different contents of an anchor beyond which its bucket is parted by the bytes beside the anchor.
+CROWDED = 64
 SCANNED = ("row long, id long, k1 long, k2 int, n_bytes long, sha string, "
-           "runs array<struct<anchor:bigint,content:bigint,start:int,count:int,at:int>>")
+           "anchor array<bigint>, content array<bigint>, start array<int>, count array<int>, at array<int>")
 
 
 def cover(period: int = PERIOD) -> np.ndarray:
@@ -56,44 +59,31 @@ def _dense(*keys: np.ndarray) -> np.ndarray:
     return rank
 
 
+def _spelled(text: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    """Ranks of the ``width`` bytes at each place, in order of the bytes."""
+    rows = np.lib.stride_tricks.sliding_window_view(text, width)[places]
+    return np.unique(np.ascontiguousarray(rows).view(f"S{width}").ravel(), return_inverse=True)[1]
+
+
 def block_ranks(text: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Rank of each suffix by its first ``window`` bytes; starts that can agree have equal residues."""
-    n = len(text)
-    deep = 256
-    if window < deep + 2 * SHORT:
+    if window < DEPTH + 2 * SHORT:
         raise ValueError("the window is too short for the cover's depth")
-    padded = np.concatenate([text, np.zeros(deep + 2 * SHORT, dtype=np.uint8)]).astype(U64)
-    key = np.zeros(n + deep, dtype=U64)
-    for k in range(8):
-        key |= padded[k:k + n + deep] << U64(56 - 8 * k)
-    # ranks by the first 64 bytes, of all positions
-    short = _dense(key)
-    reach = 8
-    while reach < SHORT:
-        later = np.zeros_like(short)
-        later[:-reach] = short[reach:] + 1
-        short = _dense(short, later)
-        reach *= 2
-    # ranks of the cover sample to its depth: a sample position plus the period is one as well
-    residues = cover()
     in_cover = np.zeros(PERIOD, dtype=bool)
-    in_cover[residues] = True
-    sample = np.flatnonzero(np.resize(in_cover, n))
-    slot = np.full(n + deep, -1)
-    slot[sample] = np.arange(len(sample))
-    ranks = short[sample] + 1
-    reach = SHORT
-    while reach < deep:
-        later = slot[np.minimum(sample + reach, n + deep - 1)]
-        ranks = _dense(ranks, np.where(later >= 0, ranks[later], 0)) + 1
-        reach *= 2
+    in_cover[cover()] = True
     # distance from a residue forward, and back, to the cover
     ahead = np.array([next(d for d in range(PERIOD) if in_cover[(r + d) % PERIOD]) for r in range(PERIOD)])
     back = np.array([next(d for d in range(PERIOD) if in_cover[(r - d) % PERIOD]) for r in range(PERIOD)])
     near = starts + ahead[starts % PERIOD]
-    far = starts + window - deep
+    far = starts + window - DEPTH
     far = far - back[far % PERIOD]
-    return _dense(short[starts], ranks[slot[near]], ranks[slot[far]], short[starts + window - SHORT])
+    # ranks of the cover sample, as far as suffixes lead to it
+    sample, slot = np.unique(np.concatenate([near, far]), return_inverse=True)
+    deep = _spelled(text, sample, DEPTH)[slot]
+    # a suffix is placed by its first bytes; ties go by the cover, then by the last bytes beyond it
+    short = _spelled(text, np.concatenate([starts, starts + window - SHORT]), SHORT)
+    n = len(starts)
+    return _dense(short[:n], deep[:n], deep[n:], short[n:])
 
 
 def _scan(window: int, gram: int):
@@ -105,11 +95,12 @@ def _scan(window: int, gram: int):
                 data = raw.tobytes()
                 shas = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 base = offsets[row]
-                fields = {"anchor": signed(anchor), "content": signed(content), "start": start - base, "count": count, "at": at - base}
                 yield pa.record_batch([
                     *(batch.column(c).slice(first, end - first) for c in ("row", "id", "k1", "k2")),
-                    pa.array(np.diff(offsets), pa.int64()), pa.array(shas, pa.string()), struct_lists(fields, bounds, RUN_TYPE),
-                ], names=["row", "id", "k1", "k2", "n_bytes", "sha", "runs"])
+                    pa.array(np.diff(offsets), pa.int64()), pa.array(shas, pa.string()),
+                    lists(signed(anchor), bounds, pa.int64()), lists(signed(content), bounds, pa.int64()),
+                    *(lists(x.astype(np.int32), bounds, pa.int32()) for x in (start - base, count, at - base)),
+                ], names=["row", "id", "k1", "k2", "n_bytes", "sha", "anchor", "content", "start", "count", "at"])
 
     return run
 
@@ -118,28 +109,38 @@ PIECES = "bucket long, x long, start int, count int, lead int, piece binary"
 
 
 def _pieces(window: int, gram: int):
-    """Texts of the opened runs, halved by the side on which their windows reach further from the anchor."""
+    """Texts of the opened runs, one bucket for each anchor.
+
+    Where an anchor has many contents, as in a line that many texts hold, a run is halved by the side on
+    which its windows reach further from the anchor, and the bytes there are part of the bucket.
+    """
     half = (window - gram) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for first, end, raw, offsets in slices(batch.column("text")):
-                data, prefix = raw.tobytes(), None
+                data, parts = raw.tobytes(), []
                 for i in range(first, end):
                     base, x = int(offsets[i - first]), batch.column("x")[i].as_py()
-                    opened = [s for s in batch.column("spans")[i].as_py() if s["opened"]]
-                    if not opened:
-                        continue
-                    prefix = prefix or Prefix(byte_values(raw))
-                    for s in opened:
-                        stop = s["start"] + s["count"]
-                        middle = min(max(s["at"] - half, s["start"]), stop)
-                        for a, b, low, high in ((s["start"], middle, s["at"] - half - 1, s["at"] + gram), (middle, stop, s["at"], s["at"] - half + window)):
+                    for s in batch.column("spans")[i].as_py():
+                        if not s["opened"]:
+                            continue
+                        start, at = s["start"], s["at"]
+                        stop = start + s["count"]
+                        if not s["crowded"]:
+                            parts.append((base, x, start, stop, at, at, at + gram))
+                            continue
+                        middle = min(max(at - half, start), stop)
+                        for a, b, low, high in ((start, middle, at - half - 1, at + gram), (middle, stop, at, at - half + window)):
                             if b > a:
-                                side = prefix.span(np.array([base + low]), np.array([base + high]))
-                                bucket = int(mix(side ^ U64(high - low)).view(np.int64)[0])
-                                out.append((bucket, x, a, b - a, s["at"] - a, data[base + a:base + b + window - 1]))
+                                parts.append((base, x, a, b, at, low, high))
+                if parts:
+                    first_byte, low, high = (np.array([p[k] for p in parts]) for k in (0, 5, 6))
+                    side = Prefix(byte_values(raw)).span(first_byte + low, first_byte + high)
+                    buckets = mix(side ^ (high - low).astype(U64)).view(np.int64).tolist()
+                    out += [(bucket, x, a, b - a, at - a, data[base + a:base + b + window - 1])
+                            for bucket, (base, x, a, b, at, _, _) in zip(buckets, parts, strict=True)]
             columns = list(zip(*out, strict=True)) if out else [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
@@ -157,8 +158,17 @@ def sort_block(pieces: list[bytes], counts: np.ndarray, leads: np.ndarray, windo
         places.append(at + gap)
         at += gap + len(piece)
     starts = np.repeat(np.array(places) - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(int(counts.sum()))
-    ranks = block_ranks(np.frombuffer(b"".join(texts), dtype=np.uint8), starts, window)
-    again = np.bincount(ranks)[ranks] > 1
+    text = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    # a suffix whose hash is alone has no equal and need not be sorted
+    hashes = Prefix(byte_values(text)).span(starts, starts + window)
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    tied = np.zeros(len(starts), dtype=bool)
+    tied[order[1:][same]] = tied[order[:-1][same]] = True
+    again = np.zeros(len(starts), dtype=bool)
+    if tied.any():
+        ranks = block_ranks(text, starts[tied], window)
+        again[tied] = np.bincount(ranks)[ranks] > 1
     return np.split(again, np.cumsum(counts)[:-1])
 
 
@@ -234,13 +244,13 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col
     """id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     texts = keyed(docs, id_column, text_column)
     scanned = cut(texts.select(F.monotonically_increasing_id().alias("row"), *KEY, "text").mapInArrow(_scan(window, gram), SCANNED))
-    runs = scanned.select("row", *KEY, F.explode("runs").alias("r")).select("row", *KEY, "r.*")
+    runs = scanned.select("row", *KEY, F.inline(F.arrays_zip("anchor", "content", "start", "count", "at")))
     contents = runs.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("times"), F.min("row").alias("first_row"))
     anchors = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"), F.sum("times").alias("all")).filter("all > 1")
     repeated = contents.join(anchors, "anchor").select("anchor", "content", "times", "contents", "first_row")
     found = runs.join(repeated, ["anchor", "content"]).withColumn("whole", F.col("times") > 1).withColumn(
-        "opened", (F.col("contents") > 1) & (F.col("row") == F.col("first_row"))).filter("whole or opened")
-    spans = cut(found.groupBy(*KEY).agg(F.collect_set(F.struct("start", "count", "at", "whole", "opened")).alias("spans")))
+        "opened", (F.col("contents") > 1) & (F.col("row") == F.col("first_row"))).withColumn("crowded", F.col("contents") > CROWDED).filter("whole or opened")
+    spans = cut(found.groupBy(*KEY).agg(F.collect_set(F.struct("start", "count", "at", "whole", "opened", "crowded")).alias("spans")))
 
     ids = small(cut(spans.select("id").distinct()))
     opened = cut(texts.join(ids, "id", "left_semi").join(spans, list(KEY)).withColumn("x", F.monotonically_increasing_id()))
