@@ -63,18 +63,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Log frequencies by language; kept in the worker with the scores of words seen."""
 
-    def __init__(self, languages: list[str], tables: list[dict[str, np.ndarray]]):
+    def __init__(self, languages: list[str], tables: list[dict[str, list[float]]]):
         self.languages, self.tables = languages, tables
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> list[float]:
         known = self.tables[0].get(word)
         if known is not None:
             return known
         for size in range(LONGEST, 0, -1):
-            found = [self.tables[size][g] for g in grams(word, size) if g in self.tables[size]]
+            table = self.tables[size]
+            found = [table[g] for g in grams(word, size) if g in table]
             if found:
-                return np.mean(found, axis=0) + BACK_OFF * (LONGEST + 1 - size)
-        return np.zeros(len(self.languages), dtype=np.float32)
+                step = BACK_OFF * (LONGEST + 1 - size)
+                return [sum(column) / len(found) + step for column in zip(*found, strict=True)]
+        return [0.0] * len(self.languages)
 
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -104,11 +106,11 @@ def _model(found: pa.Table) -> Model:
     seen[row, [column[x] for x in lang_of]] = inner.field("n").to_numpy()
     sizes = found.column("size").to_numpy()
     items = found.column("item").to_pylist()
-    tables: list[dict[str, np.ndarray]] = []
+    tables: list[dict[str, list[float]]] = []
     for size in range(LONGEST + 1):
         at = np.flatnonzero(sizes == size)
         part = seen[at]
-        scores = np.log((part + 0.5) / (part.sum(axis=0) + 0.5 * max(len(at), 1))).astype(np.float32)
+        scores = np.log((part + 0.5) / (part.sum(axis=0) + 0.5 * max(len(at), 1))).tolist()
         tables.append(dict(zip((items[i] for i in at), scores, strict=True)))
     return Model(languages, tables)
 

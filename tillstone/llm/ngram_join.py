@@ -47,7 +47,7 @@ def missing(n, percent: int):
 
 def low_bound(percent: int) -> np.uint64:
     """Hashes below this are low: somewhat more than the share of tokens that may be missing."""
-    return U64(int(((100 - percent) / 100 + 0.08) * (1 << 64)))
+    return U64(int(((100 - percent) / 100 + 0.06) * (1 << 64)))
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -87,7 +87,7 @@ def _prefixes(width: int, percent: int):
                     lows.append(low)
                     # some high ones follow, for sets with too few low or rare ones
                     need = missing(n, percent) + 1
-                    kept.append(tokens[:max(low, need) + need // 4 + 2])
+                    kept.append(tokens[:max(low, need) + need // 16 + 2])
                 bounds = np.concatenate([[0], np.cumsum([len(k) for k in kept])])
                 s = np.array(digests, dtype=np.int64).reshape(-1, 2)
                 yield pa.record_batch([
@@ -150,10 +150,10 @@ def _sign(percent: int):
             for i, (rep, n, low) in enumerate(zip(ids, sizes, lows, strict=True)):
                 tokens = batch.column("tokens")[i].values.to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
                 held = np.ones(low, dtype=np.int64)
-                known = batch.column("held")[i].as_py()
-                if known:
-                    at, times = np.array([(k["at"], k["held"]) for k in known]).T
-                    held[at] = times
+                known = batch.column("held")[i].values
+                if known is not None and len(known):
+                    shared = known.field("h").to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
+                    held[np.searchsorted(tokens[:low], shared)] = known.field("held").to_numpy(zero_copy_only=False)
                 found, short = signatures(n, low, tokens, held, percent)
                 rows += [(key, kind, lv, rep, n, 0) for key, kind, lv in found]
                 high = tokens[low:].view(np.int64).tolist() if short else []
@@ -250,15 +250,15 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
     """row, id, n_shingles, component_id of every input row; rows link at ``percent`` similarity."""
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     rows = cut(texts.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(_prefixes(width, percent), PREFIXES))
-    sets = cut(rows.filter("n > 0").groupBy("n", "s1", "s2").agg(
-        F.min("row").alias("rep"), F.min_by(F.struct("id", "low", "tokens"), "row").alias("first"))
-        .select("rep", "n", "s1", "s2", "first.*"))
+    # one row stands for all that have the same set; sets themselves stay where they were written
+    sets = cut(rows.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("row").alias("rep"), F.min_by("id", "row").alias("id")))
+    own = rows.join(small(sets.select(F.col("rep").alias("row"))), "row", "left_semi").select(F.col("row").alias("rep"), "n", "low", "tokens")
 
-    low = sets.select("rep", F.posexplode(F.slice("tokens", 1, F.col("low"))).alias("at", "h"))
+    low = own.select("rep", F.explode(F.slice("tokens", 1, F.col("low"))).alias("h"))
     held = low.groupBy("h").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    shared = low.join(held, "h").groupBy("rep").agg(F.collect_list(F.struct("at", "held")).alias("held"))
+    shared = low.join(held, "h").groupBy("rep").agg(F.collect_list(F.struct("h", "held")).alias("held"))
     # sets without any shared low token can only link through high ones, which very small sets have
-    signed_sets = (sets.select("rep", "n", "low", "tokens").join(shared, "rep", "left")
+    signed_sets = (own.join(shared, "rep", "left")
                    .filter(F.col("held").isNotNull() | (F.col("low") < F.floor((100 - percent) * F.col("n") / 100) + 1)))
     signs = cut(signed_sets.mapInArrow(_sign(percent), SIGNATURES))
 
@@ -274,16 +274,22 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
     groups = signs.groupBy("key", "kind", "level").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens")).filter("sets > 1")
     met = cut(signs.join(groups, ["key", "kind", "level"]))
     home = met.groupBy("rep").agg(F.max(F.struct("tokens", "kind", "level", "key")).alias("home"))
-    placed = cut(home.select("rep", F.xxhash64("home.kind", "home.level", "home.key", F.pmod(
+    placed = cut(home.join(sets.select("rep", "n"), "rep").select("rep", "n", F.xxhash64("home.kind", "home.level", "home.key", F.pmod(
         F.xxhash64("rep"), F.ceil(F.col("home.tokens") / BLOCK_TOKENS))).alias("block")))
     of_key = met.join(placed, "rep").select("key", "kind", "level", "block").distinct()
-    pairs = (of_key.withColumnRenamed("block", "bx").join(of_key.withColumnRenamed("block", "by"), ["key", "kind", "level"])
-             .filter("bx <= by").select("bx", "by").distinct())
-    full = _texts_of(texts, placed.join(sets.select("rep", "id", "n", "s1", "s2"), "rep"), width)
+    # blocks of which no sets are near enough in size are not compared
+    sizes = placed.groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    side = lambda name: of_key.join(sizes, "block").select(
+        "key", "kind", "level", F.col("block").alias(f"b{name}"), F.col("least").alias(f"least_{name}"), F.col("most").alias(f"most_{name}"))
+    pairs = (side("x").join(side("y"), ["key", "kind", "level"])
+             .filter(f"bx < by and 100 * most_x >= {percent} * least_y and 100 * most_y >= {percent} * least_x").select("bx", "by").distinct())
+    full = _texts_of(texts, placed.select("rep", "block").join(sets, "rep"), width)
     blocks = cut(full.groupBy("block").agg(F.collect_list(F.struct("rep", "tokens")).alias("members")))
-    links = (pairs.join(blocks.select(F.col("block").alias("bx"), F.col("members").alias("x")), "bx")
-             .join(blocks.select(F.col("block").alias("by"), F.col("members").alias("y")), "by")
-             .mapInArrow(_verify(percent), "a long, b long"))
+    within = blocks.filter("size(members) > 1").select(
+        F.col("block").alias("bx"), F.col("block").alias("by"), F.col("members").alias("x"), F.col("members").alias("y"))
+    across = (pairs.join(blocks.select(F.col("block").alias("bx"), F.col("members").alias("x")), "bx")
+              .join(blocks.select(F.col("block").alias("by"), F.col("members").alias("y")), "by").select("bx", "by", "x", "y"))
+    links = within.mapInArrow(_verify(percent), "a long, b long").unionByName(across.mapInArrow(_verify(percent), "a long, b long"))
     found = connected(links).withColumnRenamed("node", "rep")
 
     members = rows.select("row", "id", "n", "s1", "s2").join(sets.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left")
