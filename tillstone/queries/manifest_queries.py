@@ -81,6 +81,15 @@ def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.upsert_latest(entries.filter(finished), entries.filter(~finished), "file_path", "processed_at")
 
 
+@query("manifest_upsert_ties", f"""WITH {_SQL_FILES} SELECT file_path, 'again' AS status, MAX(processed_at) AS processed_at
+FROM processed_files GROUP BY file_path""")
+def manifest_upsert_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each file's latest entry arrives once more with the same stamp and another status: the new row wins."""
+    entries = processed_files(spark, sf_dir).select("file_path", "status", "processed_at")
+    again = entries.groupBy("file_path").agg(F.max("processed_at").alias("processed_at")).withColumn("status", F.lit("again"))
+    return manifest.upsert_latest(entries, again, "file_path", "processed_at").select("file_path", "status", "processed_at")
+
+
 @query("row_reconciliation", """SELECT COALESCE(s.file_path, t.file_path) AS file_path,
   COALESCE(source_rows, 0) AS source_rows, COALESCE(target_rows, 0) AS target_rows,
   COALESCE(source_rows, 0) - COALESCE(target_rows, 0) AS row_difference

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstone.operators import duplicates, oplog, profile, quality, standardize
+from tillstone.plans import silver_files
 from tillstone.plans.silver import BRONZE_KEYS, DETAILED, SUMMARIZED
 from tillstone.queries.registry import query
 from tillstone.queries.silver_sql import STAMP, with_tables
+from tillstone.session import working_folder
 from tillstone.sources.nested import flatten_nested
 from tillstone.sources.tables import (
     SQL_BRONZE_DETAILED,
@@ -29,6 +31,9 @@ SUMMARIZED_TEXTS = [
 ]
 SUMMARIZED_NUMBERS = ["TRN_MONTH", "AMOUNT", "AMOUNT_INCLUSIVE", "AMOUNT_EXCLUSIVE", "VAT", "DISC", "batch_id"]
 DETAILED_TEXTS = [*SUMMARIZED_TEXTS, "ITEM_CODE", "DESCRIPTION", "PW", "TRN_TYPE"]
+DETAILED_NUMBERS = [
+    *SUMMARIZED_NUMBERS, "TAX_AMOUNT", "QUANTITY", "DISCOUNT_PERCENT", "DISCOUNT", "AMOUNT_VALUE", "AMT_EXCL", "ITEM_PRICE", "PWQTY",
+]
 
 
 def _whitespace_sql(table: str, columns: list[str]) -> str:
@@ -138,10 +143,9 @@ def _nulls_sql(table: str, columns: list[str]) -> str:
     )
 
 
-@query("null_percentages", _D + _nulls_sql("bronze_detailed", [*DETAILED_TEXTS, "AMOUNT", "ITEM_PRICE", "QUANTITY"]))
+@query("null_percentages", _D + _nulls_sql("bronze_detailed", [*DETAILED_TEXTS, *DETAILED_NUMBERS, "load_timestamp"]))
 def null_percentages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = [*DETAILED_TEXTS, "AMOUNT", "ITEM_PRICE", "QUANTITY"]
-    return profile.null_percentages(bronze_detailed(spark, sf_dir), columns)
+    return profile.null_percentages(bronze_detailed(spark, sf_dir))
 
 
 @query("drop_sparse_columns", _D + """SELECT DOCUMENT_NUMBER, ITEM_CODE, CUS_CODE, BCODE, AMOUNT, QUANTITY
@@ -151,11 +155,12 @@ def drop_sparse_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.drop_sparse(bronze_detailed(spark, sf_dir).select(*columns), 3.0)
 
 
-@query("drop_empty_columns", "SELECT doc_id, lang, source, n_chars FROM documents")
+@query("drop_empty_columns", "SELECT * FROM documents")
 def drop_empty_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read_table(spark, sf_dir, "documents").drop("text")
+    documents = read_table(spark, sf_dir, "documents")
     padded = documents.withColumn("unused", F.when(F.col("doc_id") < 0, F.col("lang")))
-    return profile.drop_empty_columns(profile.drop_empty_rows(padded))
+    hollow = padded.select(*[F.lit(None).cast(kind).alias(name) for name, kind in padded.dtypes])
+    return profile.drop_empty_columns(profile.drop_empty_rows(padded.unionByName(hollow)))
 
 
 @query("all_zero_columns", """SELECT 'l_tax' AS column_name, bool_and(COALESCE(l_tax = 0, FALSE)) AS all_zero FROM lineitem
@@ -189,12 +194,11 @@ def infer_bool_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.looks_like_boolean(texts)
 
 
-@query("fill_missing", _D + """SELECT COALESCE(DOCUMENT_NUMBER, 'Unknown') AS DOCUMENT_NUMBER,
-  COALESCE(CUS_CODE, 'Unknown') AS CUS_CODE, COALESCE(AMOUNT, 0) AS AMOUNT, COALESCE(ITEM_PRICE, 0) AS ITEM_PRICE,
-  _source_sheet FROM bronze_detailed""")
+@query("fill_missing", _D + "SELECT * REPLACE (" + ", ".join(
+    [f"COALESCE({c}, 'Unknown') AS {c}" for c in DETAILED_TEXTS if c not in ("_source_sheet", "_processed_at")]
+    + [f"COALESCE({c}, 0) AS {c}" for c in DETAILED_NUMBERS]) + ") FROM bronze_detailed")
 def fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = bronze_detailed(spark, sf_dir)
-    return standardize.fill_missing(bronze.select("DOCUMENT_NUMBER", "CUS_CODE", "AMOUNT", "ITEM_PRICE", "_source_sheet"))
+    return standardize.fill_missing(bronze_detailed(spark, sf_dir))
 
 
 @query("any_negative_rows", "SELECT * FROM customer WHERE c_custkey < 0 OR c_nationkey < 0 OR c_acctbal < 0")
@@ -208,10 +212,10 @@ def negative_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.any_negative_rows(bronze, ["AMOUNT"])
 
 
-@query("any_null_rows", _S + """SELECT DOCUMENT_NUMBER, CUS_CODE, BCODE FROM bronze_summarized
-WHERE DOCUMENT_NUMBER IS NULL OR CUS_CODE IS NULL OR BCODE IS NULL""")
+@query("any_null_rows", _S + "SELECT * FROM bronze_summarized WHERE " + " OR ".join(
+    f"{c} IS NULL" for c in SUMMARIZED_TEXTS))
 def any_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.any_null_rows(bronze_summarized(spark, sf_dir).select("DOCUMENT_NUMBER", "CUS_CODE", "BCODE"))
+    return profile.any_null_rows(bronze_summarized(spark, sf_dir))
 
 
 @query("nonpositive_counts", _BOTH + " UNION ALL ".join(
@@ -278,9 +282,41 @@ def standardize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )[0]
 
 
-@query("flatten_json", """SELECT vec_id, label,
-  CAST(to_json(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000) AS INTEGER))) AS VARCHAR) AS vector
-FROM embeddings""")
+@query("flatten_json", """SELECT vec_id, 'v' || label AS map_key, label AS map_value, vec_id AS struct_id, place::INTEGER AS place,
+  CAST(embedding[place] AS DOUBLE) AS value
+FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS place FROM embeddings)""")
 def flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("int"))
-    return flatten_nested(read_table(spark, sf_dir, "embeddings").select("vec_id", "label", whole.alias("vector")))
+    """An array, a map and a struct as JSON text, read back value by value."""
+    vectors = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").alias("vector"), F.create_map(F.concat(F.lit("v"), F.col("label").cast("string")), "label").alias("named"),
+        F.struct(F.col("vec_id").alias("id"), F.col("label").alias("kind")).alias("pair"))
+    texts = flatten_nested(vectors)
+    named = F.from_json("named", "map<string,int>")
+    return texts.select(
+        "vec_id", F.map_keys(named)[0].alias("map_key"), F.map_values(named)[0].alias("map_value"),
+        F.from_json("pair", "id bigint, kind int")["id"].alias("struct_id"),
+        F.posexplode(F.from_json("vector", "array<float>")).alias("place", "value"),
+    ).withColumns({"place": F.col("place") + 1, "value": F.col("value").cast("double")})
+
+
+@query("standardize_report", _S + """SELECT step FROM (SELECT unnest(['column_name_standardization', 'missing_value_handling', 'data_type_standardization',
+  'duplicate_removal(' || (SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT """ + _FILLED + """, TRY_CAST(_processed_at AS TIMESTAMP) AS processed_at, load_timestamp
+   FROM bronze_summarized)) FROM bronze_summarized) || ' rows)']) AS step) WHERE step <> 'duplicate_removal(0 rows)'""")
+def standardize_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps that changed something, as the standardisation reports them."""
+    applied = standardize.standardize(bronze_summarized(spark, sf_dir), "sales/sums.parquet", STAMP, steps=standardize.STEPS_FULL)[1]
+    return spark.createDataFrame([(step,) for step in applied], "step string")
+
+
+@query("silver_file_run", """SELECT 'customer.parquet' AS file_name, 'SUCCESS' AS status, COUNT(*) AS row_count, 7 AS column_count FROM customer
+UNION ALL SELECT 'supplier.parquet', 'SUCCESS', COUNT(*), 6 FROM supplier""")
+def silver_file_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of the given files standardised into a silver tree, as the manifest has them; a second run finds nothing."""
+    root, target, log_path = (working_folder(spark, name) for name in ("bronze-files", "silver-files", "silver-manifest"))
+    for name in ("customer", "supplier"):
+        read_table(spark, sf_dir, name).coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    silver_files.run_silver_files(spark, root, target, log_path, "2025-01-01 00:00:00")
+    silver_files.run_silver_files(spark, root, target, log_path, "2025-01-02 00:00:00")
+    done = silver_files.manifest(spark, log_path)
+    folder = F.element_at(F.split("output_path", "/"), -2)
+    return done.filter(F.col("processed_at") == "2025-01-01 00:00:00").select(folder.alias("file_name"), "status", "row_count", "column_count")

@@ -98,16 +98,18 @@ def _day_text(serial: float, day_zero: datetime) -> str:
 def _sheet_cells(
     stream: io.BufferedIOBase, texts: list[str], date_styles: set[int], day_zero: datetime
 ) -> Iterator[tuple[int, int, str]]:
-    row_number, next_column = -1, 0
+    row_number, next_column, rows = -1, 0, None
     for event, node in ElementTree.iterparse(stream, events=("start", "end")):
         tag = _local(node.tag)
         if event == "start":
             if tag == "row":
                 row_number = int(node.get("r", row_number + 2)) - 1
                 next_column = 0
+            elif tag == "sheetData":
+                rows = node
             continue
-        if tag == "row":
-            node.clear()
+        if tag == "row" and rows is not None:
+            rows.clear()  # drops the finished row from its parent, so memory does not grow with rows
         if tag != "c":
             continue
         reference = node.get("r")
@@ -142,7 +144,7 @@ def _workbook_cells(path: str, content: bytes) -> Iterator[tuple]:
         properties = _children(book, "xl/workbook.xml", "workbookPr")
         is_1904 = any(node.get("date1904") in ("1", "true") for node in properties)
     except Exception as error:
-        yield path, None, None, None, None, f"unreadable workbook: {error}"[:500]
+        yield path, None, None, None, None, f"unreadable workbook: {error}"
         return
     for sheet, part in sheets:
         try:
@@ -151,7 +153,7 @@ def _workbook_cells(path: str, content: bytes) -> Iterator[tuple]:
                 for row, column, value in _sheet_cells(stream, texts, date_styles, day_zero):
                     yield path, sheet, row, column, value, None
         except Exception as error:
-            yield path, sheet, None, None, None, f"unreadable sheet: {error}"[:500]
+            yield path, sheet, None, None, None, f"unreadable sheet: {error}"
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,13 +193,18 @@ def ingest_errors(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("error_message").isNotNull()).select("file_path", "sheet_name", "error_message")
 
 
+def sound_cells(cells: DataFrame) -> DataFrame:
+    """Cells of the sheets that were read to their end; a sheet that broke midway counts as unread."""
+    broken = ingest_errors(cells).filter(F.col("sheet_name").isNotNull()).select("file_path", "sheet_name").distinct()
+    return cells.filter(F.col("error_message").isNull()).join(broken, ["file_path", "sheet_name"], "left_anti")
+
+
 def headers(cells: DataFrame) -> DataFrame:
     """Column names per sheet, from its first row, with columns that hold no data left out.
 
     A sheet has at most 16,384 columns, so its header list is small.
     """
-    data = cells.filter(F.col("error_message").isNull())
-    columns = data.groupBy("file_path", "sheet_name", "column_number").agg(
+    columns = sound_cells(cells).groupBy("file_path", "sheet_name", "column_number").agg(
         F.max(F.when(F.col("row_number") == 0, F.col("value"))).alias("header"),
         F.count_if(F.col("row_number") > 0).alias("filled"),
     )
@@ -218,7 +225,7 @@ def headers(cells: DataFrame) -> DataFrame:
 
 def sheet_rows(cells: DataFrame) -> DataFrame:
     """One row per non-empty data row: file, sheet, row number and a map of column to text."""
-    data = cells.filter(F.col("error_message").isNull() & (F.col("row_number") > 0))
+    data = sound_cells(cells).filter(F.col("row_number") > 0)
     named = data.join(headers(cells), ["file_path", "sheet_name", "column_number"])
     entries = F.collect_list(F.struct("column_name", "value"))
     return named.groupBy("file_path", "sheet_name", "row_number").agg(F.map_from_entries(entries).alias("cells"))
@@ -242,7 +249,7 @@ def sheet_columns(rows: DataFrame) -> list[str]:
 
 def landing_counts(cells: DataFrame) -> DataFrame:
     """Rows per sheet counted both ways: filled first column, and any filled column."""
-    data = cells.filter(F.col("error_message").isNull() & (F.col("row_number") > 0))
+    data = sound_cells(cells).filter(F.col("row_number") > 0)
     per_row = data.groupBy("file_path", "sheet_name", "row_number").agg(
         F.count_if(F.col("column_number") == 0).alias("first_filled")
     )
