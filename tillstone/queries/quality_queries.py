@@ -36,6 +36,11 @@ DETAILED_NUMBERS = [
 ]
 
 
+# Written out here, so that a wrong key list in the code does not pass its own check.
+SQL_SUMMARIZED_KEYS = ["DOCUMENT_NUMBER", "CUS_CODE", "TRN_DATE", "AMOUNT"]
+SQL_DETAILED_KEYS = ["DOCUMENT_NUMBER", "ITEM_CODE", "TRN_DATE", "AMOUNT"]
+
+
 def _whitespace_sql(table: str, columns: list[str]) -> str:
     def one(c: str) -> str:
         dirty = f"{c} LIKE '% ' OR {c} LIKE ' %' OR ends_with({c}, '\\t') OR starts_with({c}, '\\t')"
@@ -72,7 +77,7 @@ def _groups_sql(table: str, keys: list[str]) -> str:
 FROM (SELECT {listed} FROM {table} GROUP BY {listed} HAVING COUNT(*) > 1)"""
 
 
-@query("duplicate_groups", _D + _groups_sql("bronze_detailed", BRONZE_KEYS[DETAILED]))
+@query("duplicate_groups", _D + _groups_sql("bronze_detailed", SQL_DETAILED_KEYS))
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.duplicate_groups(bronze_detailed(spark, sf_dir), BRONZE_KEYS[DETAILED])
 
@@ -113,8 +118,8 @@ _ISSUES_SQL = f"""issues AS (
 SELECT 'TRAILING_WHITESPACE' AS issue_type, affected_rows FROM (
   {_whitespace_sql('bronze_detailed', DETAILED_TEXTS)} UNION ALL {_whitespace_sql('bronze_summarized', SUMMARIZED_TEXTS)})
 UNION ALL SELECT 'POTENTIAL_DUPLICATES', potential_duplicate_count FROM (
-  {_groups_sql('bronze_detailed', BRONZE_KEYS[DETAILED])} UNION ALL
-  {_groups_sql('bronze_summarized', BRONZE_KEYS[SUMMARIZED])}) WHERE potential_duplicate_count > 0)"""
+  {_groups_sql('bronze_detailed', SQL_DETAILED_KEYS)} UNION ALL
+  {_groups_sql('bronze_summarized', SQL_SUMMARIZED_KEYS)}) WHERE potential_duplicate_count > 0)"""
 
 
 @query("dq_issue_summary", with_tables(SQL_BRONZE_SUMMARIZED, SQL_BRONZE_DETAILED, _ISSUES_SQL) + """SELECT issue_type,

@@ -283,10 +283,7 @@ def daily_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ON = "di.transaction_date = dc.transaction_date AND di.branch_code = dc.branch_code"
-
-
-@query("daily_sales_summary", sql.with_tables(*sql.ALL_SILVER) + sql.summary(sql.DAILY_INVOICES_UNION, _CREDITS, _ON))
+@query("daily_sales_summary", sql.with_tables(*sql.ALL_SILVER) + sql.summary(sql.DAILY_INVOICES_UNION, _CREDITS))
 def daily_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.daily_sales_summary(_summarized_pair(spark, sf_dir), _detailed_pair(spark, sf_dir), sql.STAMP)
 
@@ -300,7 +297,7 @@ _MATCHED_CREDITS = " UNION ALL ".join(
 
 
 @query("daily_sales_summary_matched", sql.with_tables(*sql.ALL_SILVER)
-       + sql.summary(sql.DAILY_INVOICES_UNION, _MATCHED_CREDITS, _ON + " AND di.data_source = dc.data_source"))
+       + sql.summary(sql.DAILY_INVOICES_UNION, _MATCHED_CREDITS, "transaction_date, branch_code, data_source"))
 def daily_sales_summary_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.daily_sales_summary(
         _summarized_pair(spark, sf_dir), _detailed_pair(spark, sf_dir), sql.STAMP, match_source=True
@@ -315,16 +312,13 @@ _OLD_TABLES = (
     "old_cd AS (SELECT *, amount AS credit_amount FROM clean_detailed WHERE is_credit_note = 1)",
 )
 _OLD_KEYS = "transaction_date, branch_name, branch_code"
-_OLD_SHARE = """CASE WHEN di.total_sales > 0
-  THEN CAST(COALESCE(dc.total_credits, 0) AS DOUBLE) / CAST(di.total_sales AS DOUBLE) * 100 ELSE 0 END
-  AS credit_note_percentage,"""
 
 
 @query("daily_sales_summary_v1", sql.with_tables(*_OLD_TABLES) + sql.summary(
     sql.daily_invoices("old_s", "SUMMARIZED", "COUNT(*)") + "\nUNION ALL\n"
     + sql.daily_invoices("old_d", "DETAILED", "COUNT(*)"),
     sql.daily_credits("old_cs", _OLD_KEYS) + "\nUNION ALL\n" + sql.daily_credits("old_cd", _OLD_KEYS),
-    _ON + " AND di.branch_name = dc.branch_name", _OLD_SHARE))
+    _OLD_KEYS, share=True))
 def daily_sales_summary_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.daily_sales_summary(
         silver.split_by_document_type(bronze_summarized(spark, sf_dir), silver.SUMMARIZED, RUN),
