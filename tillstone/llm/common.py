@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, written once to the shared checkpoint folder."""
+    """The rows of ``df``, written once to the shared checkpoint folder.
+
+    What led to them is not needed any more, but Spark removes shuffle files only when the driver's JVM
+    has collected what refers to them; so that is asked for, and disk holds one phase's files at a time.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(working_folder(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+    written = df.checkpoint()
+    del df
+    gc.collect()
+    context._jvm.System.gc()
+    return written
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
