@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,7 +32,7 @@ SAMPLE_ROWS = 8000
 LEAST_COUNT = 3  # of a word or n-gram that the model keeps
 LONGEST = 4
 BACK_OFF = math.log(0.4)
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 UNDECIDED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -61,7 +60,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Log frequencies by language; kept in the worker with the scores of words seen."""
+    """Log frequencies by language."""
 
     def __init__(self, languages: list[str], tables: list[dict[str, list[float]]]):
         self.languages, self.tables = languages, tables
@@ -132,40 +131,46 @@ class _Scores(dict):
         return at
 
 
-_KEPT: dict[str, _Scores] = {}
-
-
 def predictor(spark, model: Model):
-    """Column function text -> (lang, score)."""
-    shared = spark.sparkContext.broadcast((model.languages, model.tables))
-    name = uuid.uuid4().hex
+    """Column function text -> (lang, score).
+
+    The model travels as arrays; its tables and the scores of words seen live for one task only, so that
+    they take no memory from what the worker does next.
+    """
+    width = len(model.languages)
+    packed = [(list(t), np.array(list(t.values()), dtype=np.float32).reshape(len(t), width)) for t in model.tables]
+    shared = spark.sparkContext.broadcast((model.languages, packed))
 
     @F.pandas_udf("lang string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        if name not in _KEPT:
-            _KEPT.clear()
-            _KEPT[name] = _Scores(Model(*shared.value))
-        scores = _KEPT[name]
-        languages = scores.model.languages
-        names, shares = [], []
-        for text in texts:
-            words = _LETTERS.findall(text.lower()) if text else []
-            if not languages or not any(c.isalpha() for w in words for c in w):
-                names.append(UNDECIDED)
-                shares.append(0.0)
-                continue
-            if len(scores) > KEPT_WORDS:
-                scores.clear()
-            at = np.fromiter(map(scores.__getitem__, words), dtype=np.int64, count=len(words))
-            total = scores.table[at].sum(axis=0, dtype=np.float64)
-            best = int(total.argmax())
-            names.append(languages[best])
-            shares.append(float(1 / np.exp(np.minimum(total - total[best], 0)).sum()))
-        return pd.DataFrame({"lang": names, "score": shares})
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        languages, tables = shared.value
+        scores = _Scores(Model(languages, [dict(zip(items, rows.tolist(), strict=True)) for items, rows in tables]))
+        for texts in batches:
+            yield judged(texts, scores)
 
     return predict
 
 
+def judged(texts: pd.Series, scores: _Scores) -> pd.DataFrame:
+    """Language and score of each text."""
+    languages = scores.model.languages
+    names, shares = [], []
+    for text in texts:
+        words = _LETTERS.findall(text.lower()) if text else []
+        if not languages or not any(c.isalpha() for w in words for c in w):
+            names.append(UNDECIDED)
+            shares.append(0.0)
+            continue
+        if len(scores) > KEPT_WORDS:
+            scores.clear()
+        at = np.fromiter(map(scores.__getitem__, words), dtype=np.int64, count=len(words))
+        total = scores.table[at].sum(axis=0, dtype=np.float64)
+        best = int(total.argmax())
+        names.append(languages[best])
+        shares.append(float(1 / np.exp(np.minimum(total - total[best], 0)).sum()))
+    return pd.DataFrame({"lang": names, "score": shares})
+
+
 def held_out(id_column: str):
     """One fold of five, by a checksum of the id, is never learned from."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0

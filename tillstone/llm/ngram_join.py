@@ -199,7 +199,7 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], same: bool, per
         return [(int(i), int(j)) for i, j, both in pairs if 100 * both >= percent * (a[i] + b[j] - both)]
     vocabulary = np.intersect1d(np.concatenate(left), np.concatenate(right))
     common = np.zeros((len(left), len(right)), dtype=np.float32)
-    step = max(1, (1 << 22) // max(len(left), len(right)))
+    step = max(1, (1 << 20) // max(len(left), len(right)))
     for start in range(0, len(vocabulary), step):
         chosen = vocabulary[start:start + step]
         tables = []
