@@ -25,6 +25,22 @@ def test_densities_where_there_is_no_article():
     assert main_text(page) == f"Story {LONG} Short. {LONG}"
 
 
+def test_articles_are_one_feature_among_others():
+    menu = '<nav><a href="/">Home</a></nav>'
+    cards = "".join(f'<article><h3><a href="/{i}">Another story to read {i}</a></h3><p>More.</p></article>' for i in range(3))
+    comment = f'<article class="comment-body"><p>{LONG}</p></article>'
+    page = f"<body>{menu}<div><h1>Story</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>{cards}{comment}<footer>Us</footer></body>"
+    assert main_text(page) == f"Story {LONG} Short. {LONG}"
+    # density is looked at inside of articles, and short blocks follow their neighbours
+    links = "".join(f'<li><a href="{i}">Some related entry {i}</a></li>' for i in range(4))
+    names = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda omega sigma tau upsilon phi chi psi."
+    page = f"<article class='node--promoted has-comments'><p>{LONG}</p><p>Kept.</p><ul>{links}<li>Tail</li><li><a>{names}</a></li></ul><p>{names}</p></article><p>c"
+    assert main_text(page) == f"{LONG} Kept."
+    # a language without known stop words, and an article of short blocks only
+    assert main_text(f"{menu}<article><h1>Lista</h1><p>{names}</p><p>Kres.</p></article><div>Note</div>") == f"Lista {names} Kres."
+    assert main_text(f"{menu}<article><p>Tiny.</p></article><footer>Us</footer>") == "Tiny."
+
+
 def test_broken_and_empty_pages():
     assert main_text(None) == "" and main_text("") == "" and main_text("<p>") == ""
     assert main_text("plain a < b text") == "plain a < b text"

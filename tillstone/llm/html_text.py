@@ -1,11 +1,18 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. The first pass decides blocks by themselves: those in
-menus, footers, forms and the like, or mostly made of links, are boilerplate; those in the page's article
-and, where a page has none, long ones with many stop words are text; long ones with few stop words are
-boilerplate; the others are too short to tell. The second pass gives these the label of the nearest
-decided block before and after; where the two differ, the nearer one counts, and the one before if they
-are equally near. Headings take the label of the next decided block.
+A page is cut into blocks at block-level tags. The first pass decides blocks by themselves, on every page:
+those in menus, footers, forms and the like, or mostly made of links, are boilerplate; long ones with many
+stop words are text; long ones with few stop words are boilerplate outside of articles and cannot be told
+inside; the others are too short to tell. If no block of an article has many stop words, its long blocks
+are text, as its language may have none of the known ones. The second pass gives undecided blocks the
+label of the nearest decided block before and after; where the two differ, the nearer one counts, and the
+one before if they are equally near. Headings take the label of the next decided block.
+
+Neighbours are those of the same flow: of the same innermost article or main, where what stands in its
+menus, asides and the like says nothing; or, outside of articles, all of the page's other blocks. An
+article without a decided block looks at the nearest decided one of the page, and is text where the page
+has no other. Blocks outside of articles that have no decided one among them are text only if no article
+is. An article of which a class or id begins with a boilerplate name (``comment-body``) is boilerplate.
 
 Results: one row per page, also for repeated ones. A null html is an empty page. Markup that is never
 closed runs to the end of what holds it. Text is kept whole. Other columns are not looked at.
@@ -39,6 +46,8 @@ BOILERPLATE_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|breadcrumbs?|comments?|cookies?|consent|disclaimer|disqus|footer|header|login|masthead|menu|modal|"
     r"nav|navbar|navigation|newsletter|notices?|pager|pagination|popup|promo|promoted|related|replies|reply|share|sharing|sidebar|signup|social|sponsor|sponsored|"
     r"subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+# Articles carry state in their classes ("node--promoted", "has-comments"), so only the beginning of a class counts.
+BOILERPLATE_ARTICLE = re.compile(BOILERPLATE_NAME.pattern.replace(r"(?:^|[\s_-])", r"(?:^|\s)", 1), re.I)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"']+|\"[^\"]{0,4096}\"|'[^']{0,4096}'|[\"'])*+)>", re.S)
 
@@ -51,7 +60,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass
 class Block:
-    in_article: bool
+    article: int  # number of the innermost article or main on the page, 0 outside
     boilerplate: bool
     heading: bool
     pieces: list[str] = field(default_factory=list)
@@ -62,8 +71,8 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, in article, boilerplate
-    links = 0
+    stack: list[tuple[str, int, bool]] = []  # name, article, boilerplate
+    articles = links = 0
     heading = False
     block = None
 
@@ -82,7 +91,7 @@ def blocks_of(page: str) -> list[Block]:
         if "&" in text:
             text = html.unescape(text)
         if block is None:
-            _, article, junk = stack[-1] if stack else ("", False, False)
+            _, article, junk = stack[-1] if stack else ("", 0, False)
             block = Block(article, junk, heading)
         block.pieces.append(text)
         if links:
@@ -118,28 +127,31 @@ def blocks_of(page: str) -> list[Block]:
                             del stack[depth:]
                             break
                 else:
-                    _, article, junk = stack[-1] if stack else ("", False, False)
-                    article = article or name in ARTICLE_TAGS
+                    _, article, junk = stack[-1] if stack else ("", 0, False)
+                    if name in ARTICLE_TAGS:
+                        articles += 1
+                        article = articles
                     junk = junk or name in BOILERPLATE_TAGS or (name == "header" and not article)
-                    if not junk and token[3] and name not in ARTICLE_TAGS and name != "body":
+                    if not junk and token[3] and name not in ("main", "body"):
                         names = " ".join(a or b or c for a, b, c in ATTRIBUTE.findall(token[3]))
-                        junk = bool(names) and BOILERPLATE_NAME.search(names) is not None
+                        known = BOILERPLATE_ARTICLE if name == "article" else BOILERPLATE_NAME
+                        junk = bool(names) and known.search(names) is not None
                     stack.append((name, article, junk))
             heading = name[0] == "h" and len(name) == 2 and name[1].isdigit() and not closing
     close()
     return out
 
 
-def decide(block: Block, has_article: bool) -> bool | None:
+def decide(block: Block) -> bool | None:
     """First pass: text, boilerplate, or not to be told."""
     if block.boilerplate or block.link_chars > LINK_SHARE * len(block.text):
         return False
-    if has_article:
-        return block.in_article
     if len(block.text) < SHORT_CHARS or block.heading:
         return None
     words = _WORD.findall(block.text.lower())
-    return bool(words) and sum(w in STOP_WORDS for w in words) >= STOP_SHARE * len(words)
+    if words and sum(w in STOP_WORDS for w in words) >= STOP_SHARE * len(words):
+        return True
+    return None if block.article else False
 
 
 def inherit(labels: list[bool | None], headings: list[bool]) -> list[bool]:
@@ -171,13 +183,42 @@ def inherit(labels: list[bool | None], headings: list[bool]) -> list[bool]:
     return out
 
 
+def labels_of(found: list[Block]) -> list[bool]:
+    """Both passes over the blocks of a page."""
+    labels = [decide(b) for b in found]
+    flows: dict[int, list[int]] = {}
+    for i, b in enumerate(found):
+        if not (b.article and b.boilerplate):
+            flows.setdefault(b.article, []).append(i)
+    rest = flows.pop(0, [])
+    for flow in flows.values():
+        if not any(labels[i] for i in flow):
+            for i in flow:
+                if labels[i] is None and not found[i].heading and len(found[i].text) >= SHORT_CHARS:
+                    labels[i] = True
+
+    def settle(flow: list[int]) -> list[tuple[int, bool]]:
+        return list(zip(flow, inherit([labels[i] for i in flow], [found[i].heading for i in flow]), strict=True))
+
+    open_flows = [flow for flow in flows.values() if all(labels[i] is None for i in flow)]
+    settled = [x for flow in flows.values() if any(labels[i] is not None for i in flow) for x in settle(flow)]
+    if all(labels[i] is None for i in rest) and (any(keep for _, keep in settled) or open_flows):
+        settled += [(i, False) for i in rest]
+    else:
+        settled += settle(rest)
+    page = [i for i, b in enumerate(found) if not b.boilerplate]
+    beside = dict(settle(page)) if any(labels[i] for i in page) else {}
+    settled += [(i, beside.get(i, True)) for flow in open_flows for i in flow]
+    for i, keep in settled:
+        labels[i] = keep
+    return labels
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks_of(page)
-    has_article = any(b.in_article and not b.boilerplate for b in found)
-    labels = inherit([decide(b, has_article) for b in found], [b.heading for b in found])
-    return " ".join(b.text for b, keep in zip(found, labels, strict=True) if keep)
+    return " ".join(b.text for b, keep in zip(found, labels_of(found), strict=True) if keep)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
