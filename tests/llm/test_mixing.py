@@ -45,6 +45,27 @@ def test_given_weights_and_large_rates(spark):
     assert abs(got["a"] - 1005) < 120 and abs(got["b"] - 1005) < 120
 
 
+def plain_large(rate, key):
+    u = int(hashlib.md5(f"{mixing.SEED}:{key}".encode()).hexdigest()[:13], 16) / 16 ** 13
+    n, total = 0, math.exp(-rate)
+    while total <= u:
+        n += 1
+        total += math.exp(n * math.log(rate) - rate - math.lgamma(n + 1))
+    return n
+
+
+def test_rates_above_a_thousand(spark):
+    # where the first step is not 0 any more, where exp(-rate) is 0, and above
+    for rate in (150, 190, 800, 3000):
+        rows = [(i, "x", None) for i in range(20)] + [(1000 + i, "y" * (2 * rate - 1), "big") for i in range(20)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        weights = {None: 0.5, "big": 0.5}
+        real = {r.mix_source: r.rate for r in mixing.source_rates(docs, weights).collect()}[None]
+        assert abs(real - rate) < 1e-9
+        got = Counter(r.doc_id for r in mixing.mix_sources(docs, weights).filter("source is null").collect())
+        assert got == {i: plain_large(real, i) for i in range(20)} and len(set(got.values())) > 10
+
+
 def test_nulls_repeats_clashes_and_empty(spark):
     rows = [(None, None, None, 7), (None, None, None, 7), (1, "", "s", 7), (1, "", "s", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copy int")

@@ -3,7 +3,7 @@
 A source's target is its share of the mix; its mean repetition rate is the target size over the size it
 has. Each document takes as many copies as a Poisson distribution with that mean gives at a uniform
 number made from a hash of seed and id: the distribution is inverted by counting the steps of its
-cumulative sum that lie at or below the number. Copies are exploded and shuffled globally by another hash,
+cumulative sum that lie at or below the number, whatever the mean. Copies are exploded and shuffled globally by another hash,
 of seed, id and copy. So the mix is the same on every run and for any partitioning.
 
 Sizes are aggregated in the tasks first, and a row per source is joined back; a large source is never
@@ -34,14 +34,21 @@ def uniform(*parts: Column) -> Column:
 
 
 def poisson_steps(rate: Column) -> Column:
-    """Cumulative probabilities of 0, 1, 2, ... copies, far enough that the rest is under 1e-16."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
+    """Struct of the first number of copies that matters, and the cumulative probabilities from it on.
+
+    Twelve deviations and 20 to both sides hold all but 1e-16. Where they do not reach down to 0, exp(-rate)
+    may be too small for a double; there the terms are taken relative to the first and divided by their sum.
+    """
+    width = 12 * F.sqrt(rate) + 20
+    first = F.greatest(F.floor(rate - width), F.lit(0)).cast("int")
+    start = F.when(first == 0, F.exp(-rate)).otherwise(F.lit(1.0))
     terms = F.aggregate(
-        F.sequence(F.lit(1), last),
-        F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("sums")),
+        F.sequence(first + 1, F.ceil(rate + width).cast("int")),
+        F.struct(start.alias("p"), F.array(start).alias("sums")),
         lambda s, k: F.struct((s["p"] * rate / k).alias("p"), F.concat(s["sums"], F.array(F.element_at(s["sums"], -1) + s["p"] * rate / k)).alias("sums")),
+        lambda s: F.when(first == 0, s["sums"]).otherwise(F.transform(s["sums"], lambda x: x / F.element_at(s["sums"], -1))),
     )
-    return terms["sums"]
+    return F.struct(first.alias("first"), terms.alias("sums"))
 
 
 def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None, power: float = 0.5, source_column: str = "source",
@@ -71,7 +78,7 @@ def mix_sources(docs: DataFrame, weights: dict[str | None, float] | None = None,
     columns = [c for c in docs.columns if c not in ("copy", "mix_key")]
     name = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
     drawn = docs.join(rates, F.col(source_column).eqNullSafe(F.col("mix_source"))).withColumn(
-        "mix_copies", F.size(F.filter("mix_steps", lambda step: step * float(16 ** DIGITS) <= uniform(F.lit(seed), name))))
+        "mix_copies", F.col("mix_steps.first") + F.size(F.filter("mix_steps.sums", lambda step: step * float(16 ** DIGITS) <= uniform(F.lit(seed), name))))
     copies = drawn.filter("mix_copies > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("copy"))
     keyed = copies.withColumn("mix_key", uniform(F.lit(seed), name, F.col("copy").cast("string")))
     return keyed.repartition("mix_key").sortWithinPartitions("mix_key")
