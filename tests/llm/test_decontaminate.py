@@ -67,6 +67,50 @@ def test_against_every_alignment(spark, monkeypatch):
         assert len(rows) == len(set(rows)) and set(rows) == want
 
 
+def plain(docs, items):
+    """Document, item and alignment of which a window has four fifths equal; no seeds."""
+    out = set()
+    for d, text in docs:
+        a = words_of(text)
+        for i, item in items:
+            b = words_of(item)
+            n = min(len(b), 18)
+            for shift in range(-len(b), len(a)) if n >= dc.LEAST_WORDS else ():
+                equal = [0 <= p + shift < len(a) and a[p + shift] == b[p] for p in range(len(b))]
+                if any(5 * sum(equal[p:p + n]) >= 4 * n and p + shift >= 0 and p + n + shift <= len(a) for p in range(len(b) - n + 1)):
+                    out.add((d, i, shift))
+    return out
+
+
+def test_every_alignment_without_the_seed_condition(spark, monkeypatch):
+    rng = random.Random(4)
+    items = [(n, [f"k{n}x{i}" for i in range(n)]) for n in [*range(7, 26), 40]]
+    docs, d = [], 0
+    for n, item in items:
+        may = n - -(-4 * n // 5) if n < 18 else 3
+        places = [[p] for p in range(n)] + [rng.sample(range(n), k) for k in (may, may, may, may + 1) for _ in range(4)]
+        for changed in places:
+            piece = ["changed" if p in changed else w for p, w in enumerate(item)]
+            docs.append((d := d + 1, " ".join(["before"] * (d % 3) + piece + ["after"] * (d % 2))))
+    more, given = made()
+    docs += [(i + 10_000, x) for i, x in more if i != 3]
+    items = [(n, " ".join(w)) for n, w in items] + [(i + 1000, x) for i, x in given]
+    want = plain(docs, items)
+    assert len(want) > 500
+    for limit in (dc.SEED_LIMIT, 0):
+        monkeypatch.setattr(dc, "SEED_LIMIT", limit)
+        rows = dc.contaminated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                                     spark.createDataFrame(items, "item_id long, text string"), every=True).collect()
+        assert len(rows) == len(want) and {(r.id, r.item_id, r.doc_start - r.item_start) for r in rows} == want
+        assert all(r.doc_end - r.doc_start == r.item_end - r.item_start and 5 * r.n_equal >= 4 * (r.item_end - r.item_start) for r in rows)
+
+
+def test_one_substitution_in_a_short_item_leaks(spark):
+    item = [f"k{i}" for i in range(8)]
+    docs = spark.createDataFrame([(p, " ".join(["a", *item[:p], "other", *item[p + 1:], "b"])) for p in range(8)], "doc_id long, text string")
+    assert dc.without_contaminated(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).count() == 0
+
+
 def test_stage_and_edge_cases(spark):
     item = " ".join(f"k{i}" for i in range(30))
     docs = spark.createDataFrame([(1, f"before {item} after", "a"), (2, "clean text", "b"), (None, item, "c"), (3, None, "d")], "doc_id long, text string, id string")

@@ -3,13 +3,21 @@
 A mask is laid on every place of a text; the words under its set positions are hashed and those under
 the others are ignored, so a substituted word spoils only the seeds that look at it. Seeds of documents
 and of benchmark items are joined in Spark on their hash. Around each hit, document and item are then
-compared along the hit's alignment: the best stretch, in which a substitution costs as much as four
-equal words gain, must be as long as the mask (or the whole item, if that is shorter) with at least
-four fifths of its words equal.
+compared along the hit's alignment: some window of 18 words (or the whole item, if that is shorter) must
+have at least four fifths of its words equal, wherever the others are.
+
+``EVERY`` has the masks with which no such alignment goes without a hit. A window of 18 words may lack 3,
+so of its six runs of three words three are equal, and two of these are at most two runs apart. Of an item
+of 12 to 17 words at least two runs of three are equal, of one of 8 to 11 at least three runs of two. So
+each of these masks looks at two runs of three words or three runs of two.
+
+``contaminated_spans`` without ``every`` is the narrower search with two masks of 11 in 18 words: items
+shorter than that use the first mask's beginning, and only a stretch counts that is as long as the window
+after its ends were cut where a substitution costs more (four equal words) than lies beyond it. The query
+and the pipeline search with ``every``.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z in lower case, so marks and line breaks do
-not matter. Items shorter than a mask use the mask's beginning of their own length. Items of fewer than
-``LEAST_WORDS`` words cannot be told from ordinary phrases and match nothing.
+not matter. Items of fewer than ``LEAST_WORDS`` words cannot be told from ordinary phrases and match nothing.
 
 The distinct seed hashes of the benchmark, if they were counted as at most ``SEED_LIMIT``, go to the tasks,
 which then send only seeds that can meet; beyond that all seeds are sent and the join alone decides.
@@ -33,6 +41,8 @@ from tillstone.llm.kernels import BASE, U64, Words, inside_rows, mix, slices
 
 # 1: looked at, 0: ignored. Eleven of eighteen words, in the well-known arrangement and reversed.
 MASKS = ("111010010100110111", "111011001010010111")
+# Two runs of three words, up to 12 apart, and three runs of two; the first is both.
+EVERY = ("111111", "111000111", "111000000111", "111000000000111", "11110011", "11001111", "1111000011", "1100001111", "1100110011")
 LEAST_WORDS = 8
 SUBSTITUTION = 4
 LEAST_SHARE = 0.8
@@ -57,6 +67,14 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
 SEEDS = "row long, id long, at int, seed long"
 
 
+def every_seed(mask: str, length: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a mask of ``EVERY`` is needed at a place of an item of so many words."""
+    pairs, triples = mask in EVERY[:4], mask not in EVERY[1:4]
+    long = (length >= len(MASKS[0])) & (mask in EVERY[:2])
+    middle = (length >= 12) & (length < len(MASKS[0])) & pairs & (at % 3 == 0)
+    return long | middle | ((length >= LEAST_WORDS) & (length < 12) & triples & (at % 2 == 0))
+
+
 def _seeds(masks: tuple[str, ...], whole_item: bool, known: np.ndarray | None):
     """Seeds of every text; of documents, only those in ``known`` where it is given."""
     table = None
@@ -78,7 +96,8 @@ def _seeds(masks: tuple[str, ...], whole_item: bool, known: np.ndarray | None):
                     if whole_item:
                         # a full mask anywhere in a long item; a shortened one only on an item of its length
                         length = sizes[owner[:len(found)]]
-                        fits &= (length >= LEAST_WORDS) & ((length == len(mask)) | (len(mask) == len(MASKS[0])))
+                        fits &= every_seed(mask, length, np.arange(len(found)) - words.rows[owner[:len(found)]]) if masks == EVERY else (
+                            (length >= LEAST_WORDS) & ((length == len(mask)) | (len(mask) == len(MASKS[0]))))
                     if table is not None:
                         fits &= table[(found >> U64(44)).astype(np.int64)]
                     at = np.flatnonzero(fits)
@@ -119,33 +138,54 @@ def best_stretch(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[in
     return low + start, low + end, int(equal[start:end].sum())
 
 
+def best_window(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
+    """As ``best_stretch``, of the alignment as it is: the best stretch if it holds a window, else the
+    window with most equal words, the first of such; nothing if that has too few."""
+    low, high = max(0, -shift), min(len(item), len(document) - shift)
+    width = min(len(item), len(MASKS[0]))
+    if high - low < width:
+        return 0, 0, 0
+    sums = np.concatenate([[0], np.cumsum(item[low:high] == document[low + shift:high + shift])])
+    equal = sums[width:] - sums[:-width]
+    at = int(np.argmax(equal))
+    if equal[at] < LEAST_SHARE * width:
+        return 0, 0, 0
+    a, b, n = best_stretch(document, item, shift)
+    return (a, b, n) if b - a >= width else (low + at, low + at + width, int(equal[at]))
+
+
 FOUND = "id long, item_id long, doc_start int, doc_end int, item_start int, item_end int, n_equal int"
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for i in range(batch.num_rows):
-            document = batch.column("words")[i].values.to_numpy()
-            item = batch.column("item_words")[i].values.to_numpy()
-            for shift in batch.column("shifts")[i].as_py():
-                a, b, equal = best_stretch(document, item, shift)
-                if b - a >= min(len(item), len(MASKS[0])) and equal >= LEAST_SHARE * (b - a):
-                    out.append((batch.column("id")[i].as_py(), batch.column("item_id")[i].as_py(), a + shift, b + shift, a, b, equal))
-        columns = list(zip(*out, strict=True)) if out else [()] * 7
-        kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                              names=["id", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_equal"])
+def _verify(every: bool):
+    best = best_window if every else best_stretch
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                document = batch.column("words")[i].values.to_numpy()
+                item = batch.column("item_words")[i].values.to_numpy()
+                for shift in batch.column("shifts")[i].as_py():
+                    a, b, equal = best(document, item, shift)
+                    if b - a >= min(len(item), len(MASKS[0])) and equal >= LEAST_SHARE * (b - a):
+                        out.append((batch.column("id")[i].as_py(), batch.column("item_id")[i].as_py(), a + shift, b + shift, a, b, equal))
+            columns = list(zip(*out, strict=True)) if out else [()] * 7
+            kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                  names=["id", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_equal"])
+
+    return run
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                       item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
-    """id, item_id and the word places of every verified overlap."""
+                       item_column: str = "item_id", item_text_column: str = "text", every: bool = False) -> DataFrame:
+    """id, item_id and the word places of every verified overlap; with ``every``, of all there are."""
     items = cut(benchmark.select(F.monotonically_increasing_id().alias("row"), F.col(item_column).cast("long").alias("id"),
                                  F.coalesce(F.col(item_text_column), F.lit("")).alias("text")))
     item_words = cut(items.mapInArrow(_word_lists, "row long, words array<long>"))
-    short = [r[0] for r in item_words.select(F.size("words").alias("n")).filter(F.col("n").between(LEAST_WORDS, len(MASKS[0]) - 1)).distinct().collect()]
-    masks = MASKS + tuple(MASKS[0][:n] for n in sorted(short))
+    short = [] if every else [r[0] for r in item_words.select(F.size("words").alias("n")).filter(F.col("n").between(LEAST_WORDS, len(MASKS[0]) - 1)).distinct().collect()]
+    masks = EVERY if every else MASKS + tuple(MASKS[0][:n] for n in sorted(short))
     item_seeds = cut(items.mapInArrow(_seeds(masks, True, None), SEEDS).select(
         F.col("row").alias("item_row"), F.col("id").alias("item_id"), F.col("at").alias("item_at"), "seed"))
     distinct = item_seeds.select("seed").distinct()
@@ -167,7 +207,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "
     words = hit_texts.mapInArrow(_hit_words, "id long, k long, words array<long>").dropDuplicates(["id", "k"])
     joined = (shifts.join(words, shifts.id.eqNullSafe(words.id) & (shifts.k == words.k)).select(shifts.id, "item_row", "item_id", "shifts", "words")
               .join(small(item_words.select(F.col("row").alias("item_row"), F.col("words").alias("item_words"))), "item_row"))
-    return joined.mapInArrow(_verify, FOUND).distinct()
+    return joined.mapInArrow(_verify(every), FOUND).distinct()
 
 
 def _hit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +220,6 @@ def _hit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Documents, all columns, that overlap with no benchmark item."""
-    found = contaminated_spans(docs, benchmark, id_column)
+    found = contaminated_spans(docs, benchmark, id_column, every=True)
     ids = small(cut(found.select(F.col("id").alias("__leaked")).distinct()))
     return docs.join(ids, docs[id_column].cast("long").eqNullSafe(ids["__leaked"]), "left_anti")
