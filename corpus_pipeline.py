@@ -5,24 +5,24 @@ return the columns of documents; the last adds the number of the copy and the ke
 
 1. ``language``: documents without a letter, or whose language is not decided at 0.5, go. The model learns
    from the labelled documents of four folds.
-2. ``near_copies``: of each group linked by sets of five words at a similarity of 0.8, the document with
-   the smallest id stays.
+2. ``near_copies``: of each group linked by sets of five words at a similarity of 0.8, one row stays: the
+   one with the smallest id, also where rows repeat an id or have none.
 3. ``repeats``: spans of 50 words that also start in a document with a smaller id are cut out; a document
    left without words goes.
-4. ``benchmark``: documents that overlap with a benchmark item go.
+4. ``benchmark``: documents that overlap with a benchmark item go; other texts of the same id, or without
+   id, stay.
 5. ``mix``: sources are repeated or thinned towards the square root of their sizes and shuffled.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tillstone.llm.common import cut, small, table
+from tillstone.llm.common import table
 from tillstone.llm.decontaminate import without_contaminated
 from tillstone.llm.language_id import with_language
 from tillstone.llm.mixing import mix_sources
-from tillstone.llm.ngram_join import jaccard_components
+from tillstone.llm.ngram_join import without_near_copies
 from tillstone.llm.substring_dedup import without_repeats
 
 
@@ -31,10 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without words have no copies and stay; rows without id cannot be named, and stay."""
-    groups = jaccard_components(docs, width=5, percent=80)
-    gone = cut(groups.filter("id <> component_id").select(F.col("id").alias("__copy")).distinct())
-    return docs.join(small(gone), F.col("doc_id") == F.col("__copy"), "left_anti")
+    """Documents without words have no copies and stay."""
+    return without_near_copies(docs, width=5, percent=80)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

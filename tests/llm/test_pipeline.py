@@ -60,3 +60,19 @@ def test_run_equals_the_stages_and_empty_documents(spark, corpus, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_repeated_and_missing_ids(spark, tmp_path):
+    rng = random.Random(12)
+    text = lambda n: [f"k{rng.randrange(10 ** 6)}" for _ in range(n)]
+    near = lambda words: " ".join([*words[:40], "changed", *words[41:]])
+    a, b, c, d, e, f, item = (text(80) for _ in range(7))
+    rows = [(1, a), (1, a), (2, near(a).split()), (2, b), (3, c), (3, near(c).split()), (None, d), (None, d), (None, near(d).split()),
+            (None, e), (9, near(e).split()), (None, f), (None, ["x", *item]), (4, ["y", *item[:50]]), (4, text(60)), (5, []), (5, [])]
+    rows = [(i, " ".join(w), "aa", "s", k) for k, (i, w) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = {r.n_chars for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
+    assert len(kept & {0, 1}) == len(kept & {4, 5}) == len(kept & {6, 7, 8}) == 1
+    assert kept - {0, 1, 4, 5, 6, 7, 8} == {3, 10, 11, 12, 13, 14, 15, 16}
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.n_chars for r in corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()} == set(range(17)) - {12, 13}

@@ -154,7 +154,7 @@ def best_window(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int
     return (a, b, n) if b - a >= width else (low + at, low + at + width, int(equal[at]))
 
 
-FOUND = "id long, item_id long, doc_start int, doc_end int, item_start int, item_end int, n_equal int"
+FOUND = "id long, k long, item_id long, doc_start int, doc_end int, item_start int, item_end int, n_equal int"
 
 
 def _verify(every: bool):
@@ -169,11 +169,11 @@ def _verify(every: bool):
                 for shift in batch.column("shifts")[i].as_py():
                     a, b, equal = best(document, item, shift)
                     if b - a >= min(len(item), len(MASKS[0])) and equal >= LEAST_SHARE * (b - a):
-                        out.append((batch.column("id")[i].as_py(), batch.column("item_id")[i].as_py(), a + shift, b + shift, a, b, equal))
-            columns = list(zip(*out, strict=True)) if out else [()] * 7
-            kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
+                        out.append((batch.column("id")[i].as_py(), batch.column("k")[i].as_py(), batch.column("item_id")[i].as_py(), a + shift, b + shift, a, b, equal))
+            columns = list(zip(*out, strict=True)) if out else [()] * 8
+            kinds = (*[pa.int64()] * 3, *[pa.int32()] * 5)
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                  names=["id", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_equal"])
+                                  names=["id", "k", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_equal"])
 
     return run
 
@@ -181,6 +181,12 @@ def _verify(every: bool):
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                        item_column: str = "item_id", item_text_column: str = "text", every: bool = False) -> DataFrame:
     """id, item_id and the word places of every verified overlap; with ``every``, of all there are."""
+    return _spans(docs, benchmark, id_column, text_column, item_column, item_text_column, every).drop("k").distinct()
+
+
+def _spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+           item_column: str = "item_id", item_text_column: str = "text", every: bool = True) -> DataFrame:
+    """``contaminated_spans`` with k, the hash of the text that was found."""
     items = cut(benchmark.select(F.monotonically_increasing_id().alias("row"), F.col(item_column).cast("long").alias("id"),
                                  F.coalesce(F.col(item_text_column), F.lit("")).alias("text")))
     item_words = cut(items.mapInArrow(_word_lists, "row long, words array<long>"))
@@ -205,9 +211,9 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "
     ids = small(cut(shifts.select(F.col("id").alias("hit_id")).distinct()))
     hit_texts = texts.join(ids, F.col("id").eqNullSafe(F.col("hit_id")), "left_semi").select("row", "id", "k", "text")
     words = hit_texts.mapInArrow(_hit_words, "id long, k long, words array<long>").dropDuplicates(["id", "k"])
-    joined = (shifts.join(words, shifts.id.eqNullSafe(words.id) & (shifts.k == words.k)).select(shifts.id, "item_row", "item_id", "shifts", "words")
+    joined = (shifts.join(words, shifts.id.eqNullSafe(words.id) & (shifts.k == words.k)).select(shifts.id, shifts.k, "item_row", "item_id", "shifts", "words")
               .join(small(item_words.select(F.col("row").alias("item_row"), F.col("words").alias("item_words"))), "item_row"))
-    return joined.mapInArrow(_verify(every), FOUND).distinct()
+    return joined.mapInArrow(_verify(every), FOUND)
 
 
 def _hit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +225,8 @@ def _hit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Documents, all columns, that overlap with no benchmark item."""
-    found = contaminated_spans(docs, benchmark, id_column, every=True)
-    ids = small(cut(found.select(F.col("id").alias("__leaked")).distinct()))
-    return docs.join(ids, docs[id_column].cast("long").eqNullSafe(ids["__leaked"]), "left_anti")
+    """Documents, all columns, that overlap with no benchmark item; told by id and a hash of the text."""
+    found = _spans(docs, benchmark, id_column)
+    leaked = small(cut(found.select(F.col("id").alias("__leaked"), F.col("k").alias("__k")).distinct()))
+    same = docs[id_column].cast("long").eqNullSafe(leaked["__leaked"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == leaked["__k"])
+    return docs.join(leaked, same, "left_anti")

@@ -27,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstone.llm.common import connected, cut, lists, signed, small
@@ -38,6 +38,8 @@ RARE = 24
 # Tokens in a block that is verified at once (a larger set is a block by itself).
 BLOCK_TOKENS = 1 << 15
 HIGH, PAIR, SINGLE = 1, 2, 0
+# A document is its id and 96 bits of its text.
+KEY = ("id", "k1", "k2")
 
 
 def missing(n, percent: int):
@@ -69,7 +71,7 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
     return int(tokens.sum().view(np.int64)), int(mix(tokens).sum().view(np.int64))
 
 
-PREFIXES = "row long, id long, n long, s1 long, s2 long, low int, tokens array<long>"
+PREFIXES = "row long, id long, k1 long, k2 int, n long, s1 long, s2 long, low int, tokens array<long>"
 
 
 def _prefixes(width: int, percent: int):
@@ -91,10 +93,10 @@ def _prefixes(width: int, percent: int):
                 bounds = np.concatenate([[0], np.cumsum([len(k) for k in kept])])
                 s = np.array(digests, dtype=np.int64).reshape(-1, 2)
                 yield pa.record_batch([
-                    batch.column("row").slice(first, end - first), batch.column("id").slice(first, end - first),
+                    *(batch.column(c).slice(first, end - first) for c in ("row", *KEY)),
                     pa.array(sizes, pa.int64()), pa.array(s[:, 0]), pa.array(s[:, 1]), pa.array(lows, pa.int32()),
                     lists(signed(np.concatenate(kept)), bounds, pa.int64()),
-                ], names=["row", "id", "n", "s1", "s2", "low", "tokens"])
+                ], names=["row", *KEY, "n", "s1", "s2", "low", "tokens"])
 
     return run
 
@@ -245,11 +247,17 @@ def _verify(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_column: str = "doc_id",
-                       text_column: str = "text") -> DataFrame:
-    """row, id, n_shingles, component_id of every input row; rows link at ``percent`` similarity."""
+def document_key(id_column: str, text_column: str) -> dict[str, Column]:
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    return dict(zip(KEY, (F.col(id_column).cast("long"), F.xxhash64(text), F.hash(text)), strict=True))
+
+
+def _members(docs: DataFrame, width: int, percent: int, id_column: str, text_column: str) -> DataFrame:
+    """row, id, k1, k2, n and component of every input row."""
+    key = document_key(id_column, text_column)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    rows = cut(texts.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(_prefixes(width, percent), PREFIXES))
+    keyed = docs.select(F.monotonically_increasing_id().alias("row"), *(c.alias(name) for name, c in key.items()), F.col(text_column).alias("text"))
+    rows = cut(keyed.mapInArrow(_prefixes(width, percent), PREFIXES))
     # one row stands for all that have the same set; sets themselves stay where they were written
     sets = cut(rows.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("row").alias("rep"), F.min_by("id", "row").alias("id")))
     own = rows.join(small(sets.select(F.col("rep").alias("row"))), "row", "left_semi").select(F.col("row").alias("rep"), "n", "low", "tokens")
@@ -292,12 +300,40 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_co
     links = within.mapInArrow(_verify(percent), "a long, b long").unionByName(across.mapInArrow(_verify(percent), "a long, b long"))
     found = connected(links).withColumnRenamed("node", "rep")
 
-    members = rows.select("row", "id", "n", "s1", "s2").join(sets.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left")
-    members = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep", "row"))
+    members = rows.select("row", *KEY, "n", "s1", "s2").join(sets.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left")
+    return members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep", "row"))
+
+
+def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_column: str = "doc_id",
+                       text_column: str = "text") -> DataFrame:
+    """row, id, n_shingles, component_id of every input row; rows link at ``percent`` similarity."""
+    members = _members(docs, width, percent, id_column, text_column)
     least = members.groupBy("component").agg(F.min("id").alias("component_id"))
     return members.join(least, "component").select("row", "id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Of each group of linked rows one, all columns: the one of the smallest id, rows without id last,
+    and of several texts of that id the one of the smallest hash. Rows without words stay."""
+    rows = _members(docs, width, percent, id_column, text_column).filter("n > 0")
+    keys = cut(rows.groupBy("component", *KEY).agg(F.count(F.lit(1)).alias("rows")))
+    firsts = keys.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), *KEY)).alias("first"), F.count(F.lit(1)).alias("keys"))
+    marked = keys.join(firsts.filter("keys > 1").select("component", "first"), "component", "left").withColumn(
+        "goes", F.col("first").isNotNull() & ~(F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.k1") == F.col("k1")) & (F.col("first.k2") == F.col("k2"))))
+    marked = cut(marked.filter("goes or rows > 1").select("goes", *(F.col(c).alias(f"__{c}") for c in KEY)))
+    gone, repeated = (marked.filter(which).drop("goes") for which in ("goes", "not goes"))
+    own = document_key(id_column, text_column)
+
+    same = own["id"].eqNullSafe(F.col("__id")) & (own["k1"] == F.col("__k1")) & (own["k2"] == F.col("__k2"))
+    kept = docs.join(small(gone), same, "left_anti")
+    if not repeated.limit(1).count():
+        return kept
+    # only rows that are there more than once are sent to each other
+    repeated = small(repeated)
+    once = kept.join(repeated, same, "left_semi").withColumns({f"__{c}": x for c, x in own.items()}).dropDuplicates([f"__{c}" for c in KEY])
+    return kept.join(repeated, same, "left_anti").unionByName(once.select(*docs.columns))
+
+
 def _is_high(percent: int):
     """Whether a token, kept as a signed long, is at or above the bound for low ones."""
     bound = int(low_bound(percent))
