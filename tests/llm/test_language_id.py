@@ -36,6 +36,14 @@ def test_unseen_words_back_off(spark):
     assert got[0][1] > 0.9 and got[2:5] == [("und", 0.0)] * 3 and got[5][1] == 0.5
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "kata kito" if i % 2 else "zemil zoril", "aa" if i % 2 else "bb") for i in range(20_000)]
+    rows += [(i, "ξυλο παλι", "cc") for i in range(20_000, 20_006)]
+    model = language_id.fit(spark.createDataFrame(rows, "id long, text string, lang string"), sample_rows=200)
+    assert model.languages == ["aa", "bb", "cc"]
+    assert language_id.quota([6, 10_000, 10_000], 200) == 97 and language_id.quota([1, 2], 8) == language_id.math.inf
+
+
 def test_labels_of_held_out_rows_are_not_learned(spark):
     docs = spark.createDataFrame(_made(spark), "doc_id long, text string, lang string")
     wrong = docs.withColumn("lang", F.when(language_id.held_out("doc_id"), "xx").otherwise(F.col("lang")))

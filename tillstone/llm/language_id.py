@@ -5,8 +5,9 @@ its known character n-grams of the longest length of which it has any, at a fixe
 step down, so that a new word is still judged by its parts. Word boundaries count as characters. Words
 are runs of letters in lower case, so digits, signs and markup play no part.
 
-The model is fitted on a bounded sample of labelled rows: ``sample_rows`` of them in expectation, taken
-by a hash of the id over the whole table. Words and n-grams are counted in the tasks before they are
+The model is fitted on a bounded sample of labelled rows: at most ``sample_rows`` of them in expectation,
+taken by a hash of the id over the whole table. Each language has the same quota of it, and what small
+languages leave of theirs goes to the others, so a rare language is learned from all its rows. Words and n-grams are counted in the tasks before they are
 shuffled. What the model keeps is bounded by the sample. Prediction reads every whole text.
 
 Results: a null text, a text without a letter and a model without languages give ``und`` and score 0.
@@ -28,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstone.llm.common import small
+
 SAMPLE_ROWS = 8000
 LEAST_COUNT = 3  # of a word or n-gram that the model keeps
 LONGEST = 4
@@ -78,12 +81,24 @@ class Model:
         return [0.0] * len(self.languages)
 
 
+def quota(sizes: list[int], total: int) -> float:
+    """Most rows of one language, with which all languages together have ``total`` rows."""
+    left = float(total)
+    for k, n in enumerate(sorted(sizes)):
+        share = left / (len(sizes) - k)
+        if n >= share:
+            return share
+        left -= n
+    return math.inf
+
+
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Model from the columns id, text and lang; rows without text or lang are left out."""
     rows = labelled.filter("text is not null and lang is not null")
-    total = rows.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("lang", "text")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = quota(list(sizes.values()), sample_rows)
+    bounds = labelled.sparkSession.createDataFrame([(lang, int(min(1.0, most / n) * (1 << 30))) for lang, n in sizes.items()], "lang string, bound long")
+    chosen = rows.join(small(bounds), "lang").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("bound")).select("lang", "text")
     counts = (chosen.mapInArrow(_count, "lang string, size int, item string, n long")
               .groupBy("lang", "size", "item").agg(F.sum("n").alias("n")))
     # a total over all languages decides whether an item is kept
