@@ -1,13 +1,14 @@
-"""Exact top-k search by inner product with a dual-tree walk over cover trees.
+"""Exact top-k search by inner product: blocks of queries walk a cover tree of candidates.
 
 The upper levels of a cover tree are fitted on a bounded, documented sample: nested nets whose radius
 halves with each level, each center covered by one of the level above. Every vector, query or candidate,
 is then put under the nearest center of the last level, and the vectors under a center are dealt into
-blocks of bounded size, each with its own centroid and covering radius. So both sides are trees with the
-same upper levels, and radii are those of the rows that they really hold.
+blocks of bounded size by a hash of the id, each with its own centroid and covering radius. Radii are
+those of the rows that they really hold. Only the candidate side is walked as a tree; queries are flat
+blocks, and blocks of one center do not part it further.
 
 Each query block first meets one candidate block under its own center, which gives every query a kth
-score to beat. Then the trees are walked together: for query block and candidate node, with centers q, p
+score to beat. Then each query block walks the tree: for query block and candidate node, with centers q, p
 and covering radii r, s, no product exceeds q.p + r|p| + s|q| + rs, and the pair is dropped if that is
 below the worst kth score of the block's queries. Upper nodes are walked in the task that holds the query
 block's summary, as the tree is bounded; surviving centers are joined with their blocks, which are
