@@ -109,3 +109,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillstone.llm.license_scan import license_scan
 
     return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.spelling_variants import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_centroid_clustering")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.centroid_clustering import cluster_vectors
+
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
