@@ -38,7 +38,7 @@ from tillstone.llm.common import cut, small
 RUN = re.compile(r"[A-Za-zÀ-ÿ]+")
 LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
 PIECES = 3
-CROWDED = 2_000
+CROWDED = 32
 # Distinct words a task holds before it passes their counts on to the shuffle.
 HELD_WORDS = 200_000
 LAST = "\U0010ffff"
