@@ -123,3 +123,10 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillstone.llm.centroid_clustering import cluster_vectors
 
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillstone.llm.personal_data import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
