@@ -33,8 +33,11 @@ from tillstone.sources.sinks import read_table_or_none
 # Features in load order.
 FEATURES = ("sales", "supplies", "inventory")
 
-# Batch ids from here on belong to streams, so that a load never writes into a stream's partitions.
+# Batch ids from here on belong to streams, so that a load never writes into a stream's partitions. Each
+# stream has a range of its own, one id a micro-batch.
 FIRST_STREAM_BATCH = 1_000_000_000
+STREAM_RANGE = 1_000_000
+LAST_STREAM_BATCH = 2_147_483_647
 _SOURCE = "__source_file"
 
 OPERATION_SCHEMA = (
@@ -313,15 +316,29 @@ def current_rows(bronze: DataFrame, file_log: DataFrame) -> DataFrame:
     return bronze.join(older, ["source_file_path", "batch_id"], "left_anti")
 
 
-def next_stream_batch(spark: SparkSession, store: BronzeStore, stream: str) -> int:
-    """First batch id of a stream: as logged for its checkpoint, or after all that streams have used."""
+def first_stream_batch(spark: SparkSession, store: BronzeStore, stream: str) -> int:
+    """First batch id of the range of a stream: as logged for its checkpoint, or the next free range.
+
+    Ranges are told apart by the log alone, so streams of one store are started one after the other. Files
+    that an older log holds beyond the ranges it names push the next range behind them.
+    """
     known = read_table_or_none(spark, store.log("streams"))
     if known is not None:
         held = known.filter(F.col("stream") == stream).agg(F.min("first_batch_id")).first()[0]
         if held is not None:
             return held
     used = read_file_log(spark, store).agg(F.max("operation_id")).first()[0] or 0
-    reserved = 0 if known is None else known.agg(F.max("first_batch_id")).first()[0] or 0
-    first = max(FIRST_STREAM_BATCH, used + 1, reserved + 1)
+    reserved = None if known is None else known.agg(F.max("first_batch_id")).first()[0]
+    taken = max(used + 1, FIRST_STREAM_BATCH if reserved is None else reserved + STREAM_RANGE) - FIRST_STREAM_BATCH
+    first = FIRST_STREAM_BATCH + -(-max(taken, 0) // STREAM_RANGE) * STREAM_RANGE
+    if first + STREAM_RANGE - 1 > LAST_STREAM_BATCH:
+        raise ValueError("all ranges of stream batch ids are in use")
     write_batch(spark.createDataFrame([(stream, first)], "stream string, first_batch_id int"), store.log("streams"), ("first_batch_id",))
     return first
+
+
+def stream_batch(first: int, epoch: int) -> int:
+    """Batch id of a micro-batch; a stream never leaves its range."""
+    if not 0 <= epoch < STREAM_RANGE:
+        raise ValueError(f"epoch {epoch} is outside a stream's range of {STREAM_RANGE} batches; start a new checkpoint")
+    return first + epoch

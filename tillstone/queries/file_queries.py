@@ -188,6 +188,20 @@ def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.withColumn("source_file", file_name(F.col("source_file_path"))).drop("source_file_path")
 
 
+@query("two_streams", """SELECT o_orderkey, o_totalprice, if(o_orderkey % 3 = 1, 1001000000, if(o_orderkey % 3 = 0, 1000000000, 1000000001)) AS batch_id,
+  3 AS logged_files FROM orders""")
+def two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with a checkpoint each fill one table, and the first is started again for a new file."""
+    root, store, orders = working_folder(spark, "landing"), _store(spark), read_table(spark, sf_dir, "orders")
+    checkpoints = {"2024": working_folder(spark, "stream"), "2025": working_folder(spark, "stream")}
+    for part, (folder, year) in enumerate((("a", "2024"), ("b", "2025"), ("c", "2024"))):
+        sinks.write_tree(orders.filter(F.col("o_orderkey") % 3 == part).coalesce(1), f"{root}/sales/orders/all/{year}/{folder}")
+        stream_bronze(spark, root, orders.schema, store, checkpoints[year], _LOADED, folder=f"sales/orders/all/{year}").awaitTermination()
+    loaded = spark.read.parquet(store.table("bronze_sales_orders_all"))
+    logged = bronze.read_file_log(spark, store).select("file_path").distinct().count()
+    return bronze.current_rows(loaded, bronze.read_file_log(spark, store)).select("o_orderkey", "o_totalprice", "batch_id", F.lit(logged).alias("logged_files"))
+
+
 @query("warehouse_upload", "SELECT 'loaded' AS state, * FROM orders")
 def warehouse_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a table after every file was uploaded and a second run found nothing to do."""
