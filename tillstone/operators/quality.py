@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,32 +36,53 @@ def has_outer_whitespace(value: Column, real_tabs: bool = False) -> Column:
     return tests[0] | tests[1] | tests[2] | tests[3]
 
 
+def _outer_whitespace(batches: Iterator[pa.RecordBatch], marks: Sequence[str], n: int) -> Iterator[pa.RecordBatch]:
+    """One row for each column of a task: name, offending cells, the ``n`` smallest different ones."""
+    counts: dict[str, int] = {}
+    smallest: dict[str, pa.Array] = {}
+    for batch in batches:
+        for name, values in zip(batch.schema.names, batch.columns, strict=True):
+            tests = [test(values, pattern=mark) for mark in marks for test in (pc.starts_with, pc.ends_with)]
+            dirty = values.filter(pc.fill_null(reduce(pc.or_, tests), False))
+            if not len(dirty):
+                continue
+            counts[name] = counts.get(name, 0) + len(dirty)
+            held = smallest.get(name)
+            if held is not None and len(held) == n:
+                dirty = dirty.filter(pc.less(dirty, held[n - 1]))
+            if len(dirty):
+                merged = dirty.unique() if held is None else pa.concat_arrays([held, dirty]).unique()
+                smallest[name] = merged.take(pc.array_sort_indices(merged)[:n])
+    names = list(counts)
+    yield pa.RecordBatch.from_arrays([
+        pa.array(names, pa.string()), pa.array([counts[c] for c in names], pa.int64()),
+        pa.array([smallest[c].to_pylist() for c in names], pa.list_(pa.string())),
+    ], names=["column_name", "n", "smallest"])
+
+
 def whitespace_profile(df: DataFrame, columns: Sequence[str] | None = None, real_tabs: bool = False) -> DataFrame:
     """Rows with leading or trailing whitespace per string column, with the first few such values.
 
-    One pass: offending cells become (column, value) pairs that are counted before the shuffle, so
-    a value shared by many rows travels once per task. Columns without offending cells are left out.
+    One pass: each task keeps a count and the smallest ``SAMPLE_SIZE`` different values of a column, so
+    what is shuffled depends on tasks and columns and not on the number of offending cells. Columns
+    without offending cells are left out.
     """
     names = list(columns) if columns is not None else string_columns(df)
     if not names:
         return df.sparkSession.createDataFrame([], "column_name string, affected_rows bigint, sample_data string")
-    cells = F.array(*[
-        F.when(
-            has_outer_whitespace(F.col(quoted(name)), real_tabs),
-            F.struct(F.lit(name).alias("column_name"), F.col(quoted(name)).alias("value")),
-        )
-        for name in names
-    ])
-    dirty = df.select(F.explode(cells).alias("cell")).filter(F.col("cell").isNotNull())
-    counted = dirty.groupBy("cell.column_name", "cell.value").agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.groupBy("column_name").agg(F.sum("n").alias("affected_rows"))
+    marks = [" ", "\t" if real_tabs else TAB_TEXT]
+    # columns travel by number, because a name may hold any character and may differ from others by case only
+    cells = df.select(*[F.col(quoted(name)).cast("string").alias(f"c{i}") for i, name in enumerate(names)])
+    found = cells.mapInArrow(lambda batches: _outer_whitespace(batches, marks, SAMPLE_SIZE), "column_name string, n bigint, smallest array<string>")
+    values = found.select("column_name", "n", F.posexplode("smallest").alias("place", "value"))
+    # a task's count goes with its first value, so that one shuffle brings both
+    counted = values.groupBy("column_name", "value").agg(F.sum(F.when(F.col("place") == 0, F.col("n")).otherwise(F.lit(0))).alias("n"))
     rank = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
-    # The filter reads the count, so that both branches have the same shuffle and Spark runs it once.
-    first = counted.filter(F.col("n") > 0).withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_SIZE)
-    samples = first.groupBy("column_name").agg(
-        F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("sample_data")
-    )
-    return totals.join(samples, "column_name")
+    profile = counted.withColumn("rank", rank).groupBy("column_name").agg(
+        F.sum("n").alias("affected_rows"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("rank") <= SAMPLE_SIZE, F.col("value")))), ", ").alias("sample_data"))
+    listed = F.element_at(F.array(*[F.lit(name) for name in names]), F.substring("column_name", 2, 10).cast("int") + 1)
+    return profile.withColumn("column_name", listed)
 
 
 def credit_note_counts(df: DataFrame, count_zero: bool = True) -> DataFrame:

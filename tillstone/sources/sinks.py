@@ -28,10 +28,10 @@ def write_tree(
     writer.parquet(path)
 
 
-def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet table, or None when it was never written."""
+def read_table_or_none(spark: SparkSession, path: str, merge: bool = True) -> DataFrame | None:
+    """A Parquet table, or None when it was never written. ``merge`` reads the columns of all files, else of one."""
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        return spark.read.option("mergeSchema", merge).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return None
