@@ -46,6 +46,9 @@ def test_broken_and_empty_pages():
     assert main_text("plain a < b text") == "plain a < b text"
     assert main_text("<article><p>a<p title=\"x > y\">b</article><p>c") == "a b"
     assert main_text("<article>x<script>never closed") == "x"
+    assert main_text(f"<article><p>{LONG}<p title='{'x > y ' * 3000}'>b</p></article>") == f"{LONG} b"
+    assert main_text(f"<article><noscript>enable js<p>{LONG}<select><option>one<option>two</p><p>{LONG}</article>") == f"{LONG} {LONG}"
+    assert main_text(f"<article><p class=a\"b>{LONG}</p><p>It's {LONG}</p></article>") == f"{LONG} It's {LONG}"
     main_text("<div " + '"' * 5000 + "<" * 2000 + "x")  # ends
     assert len(main_text("<article>" + "<div>" * 3000 + "word " * 50000)) == 249999
 

@@ -64,3 +64,11 @@ def test_nulls_repeats_and_extra_columns(spark):
     got = sorted(((r.id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(frame).collect()), key=str)
     assert got == sorted([(1, 2, 1), (1, 2, 1), (None, 2, 1), (5, 0, 5), (None, 0, None)], key=str)
     assert ngram_join.jaccard_components(frame.limit(0)).collect() == []
+
+
+def test_long_words_that_collide_in_polynomials(spark):
+    words = ["".join(letters[bin(i).count("1") % 2] for i in range(n)) for n in (1024, 4096) for letters in ("ab", "ba")]
+    docs = list(enumerate([*words, words[0], f"{words[0]} {words[1]} x y z", f"{words[1]} {words[0]} x y z", "q " * 600_000 + "end", "q " * 600_000 + "end."]))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(frame, 3, 90).collect()}
+    assert got == brute(docs, 3, 90)

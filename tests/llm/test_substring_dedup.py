@@ -59,3 +59,21 @@ def test_texts_nulls_and_clashing_columns(spark):
     counts = sorted((r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(frame).collect())
     assert counts == [(0, 0), (0, 0), (60, 60), (60, 60), (62, 0), (62, 60)]
     assert substring_dedup.substring_dedup(frame.limit(0)).collect() == []
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_long_words_that_collide_in_polynomials_and_long_texts(spark):
+    """Words of a Thue-Morse order and its complement, in texts of more than a slice."""
+    rng = random.Random(2)
+    docs = []
+    for i, n in enumerate((1024, 2048, 4096)):
+        docs += [(2 * i, " ".join([thue_morse(n, "ab")] * 61)), (2 * i + 1, " ".join([thue_morse(n, "ba")] * 61))]
+    passage = " ".join(f"p{i}" for i in range(70))
+    long_text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(180_000))
+    docs += [(10, long_text), (11, f"{long_text[:900_000]} {passage} {long_text[900_000:]}"), (12, f"x {passage} y")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.substring_dedup(frame).collect()}
+    assert got == brute(docs, 50)

@@ -49,12 +49,13 @@ BOILERPLATE_NAME = re.compile(
 # Articles carry state in their classes ("node--promoted", "has-comments"), so only the beginning of a class counts.
 BOILERPLATE_ARTICLE = re.compile(BOILERPLATE_NAME.pattern.replace(r"(?:^|[\s_-])", r"(?:^|\s)", 1), re.I)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"']+|\"[^\"]{0,4096}\"|'[^']{0,4096}'|[\"'])*+)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>=]+|=\s*\"[^\"]*+\"|=\s*'[^']*+'|=)*+)>", re.S)
 
 SHORT_CHARS = 70
 LINK_SHARE = 0.5
 STOP_SHARE = 0.2
 _CLOSINGS = {name: re.compile(rf"</{name}\b[^>]*>?", re.I) for name in SKIPPED}
+_NEXT_BLOCK = re.compile(r"</?(?:p|div|article|main|section|h[1-6]|ul|ol|dl|li|table|header|footer|nav|aside|blockquote|body|html)\b", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -112,7 +113,11 @@ def blocks_of(page: str) -> list[Block]:
         if name in SKIPPED:
             if not closing and not token[3].rstrip().endswith("/") and name != "head":
                 done = _CLOSINGS[name].search(page, at)
-                at = done.end() if done else end if name in ("script", "style", "textarea", "title") else at
+                if done is None and name not in ("script", "style", "textarea", "title"):
+                    done = _NEXT_BLOCK.search(page, at)  # never closed: it ends before the next block
+                    at = done.start() if done else end
+                else:
+                    at = done.end() if done else end
         elif name == "a":
             links = max(0, links - 1) if closing else 1
         elif name == "br":

@@ -1,7 +1,8 @@
 """Array kernels that run inside tasks over the raw UTF-8 buffers of an Arrow column.
 
-Hashes are polynomials modulo 2**64 over random byte or word values, taken from prefix sums and mixed,
-so any span's hash costs a subtraction. All constants come from one fixed rule, so every executor
+Hashes of spans are polynomials modulo 2**64 over random byte or word values, taken from prefix sums and
+mixed, so any span's hash costs a subtraction; they are used for spans well below 1,024 items only, where
+no two spans collide by construction. Words, which may be longer, mix each byte with its place. All constants come from one fixed rule, so every executor
 computes the same values.
 """
 
@@ -112,7 +113,19 @@ class Words:
         self.rows = np.searchsorted(self.start, offsets)  # word range of each row
 
     def hashes(self, fold_case: bool = False, seed: int = 1, base: int = BASE) -> np.ndarray:
-        return Prefix(_VALUES[seed, fold_case][self.raw], base).span(self.start, self.end)
+        """A word's bytes are mixed each with its place before they are added.
+
+        A polynomial modulo 2**64 would not do: words of 1,024 bytes in a Thue-Morse order collide in it for
+        every base and every byte value.
+        """
+        length = self.end - self.start
+        if not len(length):
+            return np.empty(0, dtype=U64)
+        first = np.cumsum(length) - length
+        place = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(first, length)
+        at = np.repeat(self.start, length) + place
+        mixed = mix(_VALUES[seed, fold_case][self.raw[at]] + place.astype(U64) * U64(base))
+        return mix(np.add.reduceat(mixed, first) + length.astype(U64) * U64(SECOND_BASE))
 
 
 def byte_values(raw: np.ndarray, seed: int = 1) -> np.ndarray:

@@ -231,7 +231,9 @@ def _search(k: int):
                 own, queries = _side(batch, i, "q")
                 ids, vectors = _side(batch, i, "c")
                 at, names, score = best(ids, vectors, own, queries, k, np.frombuffer(batch.column("floors")[i].as_py(), dtype=np.int64))
-                yield pa.record_batch([pa.array(own[at]), pa.array(names), pa.array(score)], names=["query_id", "vec_id", "score"])
+                block = pa.array([batch.column("q_block")[i].as_py()] * len(at), pa.string())
+                yield pa.record_batch([block, pa.array(np.asarray(at, dtype=np.int32)), pa.array(own[at]), pa.array(names), pa.array(score)],
+                                      names=["q_block", "q_row", "query_id", "vec_id", "score"])
 
     return run
 
@@ -253,7 +255,10 @@ def scaled(vector: Column, factor: int) -> Column:
 
 
 def top_k(vectors: DataFrame, k: int = 20, factor: int = 64, is_query: Column | None = None, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score of each query's k best among all other rows."""
+    """query_id, rank, vec_id, score of each query's k best among all rows of other ids.
+
+    Rows that repeat an id are ranked each by itself when they are queries, and are each a candidate for others.
+    """
     is_query = F.pmod(F.col("id"), F.lit(20)) == 0 if is_query is None else is_query
     infinite = F.lit(float("inf"))
     usable = F.forall(F.col("v"), lambda x: F.coalesce((F.abs(x.cast("double")) < infinite) & ~F.isnan(x.cast("double")), F.lit(False)))
@@ -297,6 +302,6 @@ def top_k(vectors: DataFrame, k: int = 20, factor: int = 64, is_query: Column |
              .join(candidates.select("dim", "center", F.col("block").alias("c_block"), F.col("middle").alias("c_middle"), F.col("radius").alias("c_radius")), ["dim", "center"])
              .mapInArrow(_prune, "q_block string, c_block string"))
     found = (pairs.join(q.select("q_block", "q_ids", "q_vectors").join(floors.select("q_block", "floors"), "q_block"), "q_block").join(c, "c_block")
-             .mapInArrow(_search(k), "query_id long, vec_id long, score long"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .mapInArrow(_search(k), "q_block string, q_row int, query_id long, vec_id long, score long"))
+    order = Window.partitionBy("q_block", "q_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
