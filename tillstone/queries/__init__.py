@@ -6,7 +6,7 @@ import importlib
 
 from tillstone.queries.registry import CHECKS, QUERIES, Query
 
-MODULES = ("silver_queries", "quality_queries", "log_queries", "manifest_queries", "file_queries", "column_queries", "history_queries")
+MODULES = ("silver_queries", "quality_queries", "log_queries", "manifest_queries", "file_queries", "column_queries", "history_queries", "stream_queries")
 
 
 def load_all() -> tuple[dict[str, Query], dict[str, str]]:
