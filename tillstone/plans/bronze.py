@@ -27,6 +27,7 @@ from tillstone.sources.files import (
     list_files,
     readable,
     schema_groups,
+    settled,
 )
 from tillstone.sources.sinks import read_table_or_none
 
@@ -206,12 +207,14 @@ def load_bronze(
     load_timestamp: str,
     features: Sequence[str] = FEATURES,
     path_only: bool = False,
+    settle_seconds: int = 0,
 ) -> DataFrame:
     """Load files that are new or changed since the logged batches; returns the batch's file log.
 
     Changed means another size or modification time; ``path_only`` never reloads a known path.
     A file that cannot be read, or holds values its table cannot take, is logged as FAILED and does
-    not stop the others. The operation log gets STARTED first, and COMPLETED or FAILED at the end.
+    not stop the others. Files written less than ``settle_seconds`` ago may not be whole yet; they are left
+    to the next batch. The operation log gets STARTED first, and COMPLETED or FAILED at the end.
     Spark's own file index keeps the paths of a read on the driver, so the new files of one batch are
     named there as well; contents and counts stay on executors.
     """
@@ -220,7 +223,7 @@ def load_bronze(
     started = [{"operation_id": batch_id, "feature_name": f, "status": STARTED, "started_at": load_timestamp} for f in features]
     _log_operations(spark, store, started)
     try:
-        log = _load(spark, root, store, batch_id, load_timestamp, features, path_only)
+        log = _load(spark, root, store, batch_id, load_timestamp, features, path_only, settle_seconds)
     except Exception as error:
         _log_operations(spark, store, [{**row, "status": FAILED, "completed_at": load_timestamp, "error_message": str(error)} for row in started])
         raise
@@ -237,9 +240,12 @@ def load_bronze(
 
 
 def _load(
-    spark: SparkSession, root: str, store: BronzeStore, batch_id: int, load_timestamp: str, features: Sequence[str], path_only: bool
+    spark: SparkSession, root: str, store: BronzeStore, batch_id: int, load_timestamp: str, features: Sequence[str], path_only: bool,
+    settle_seconds: int,
 ) -> DataFrame:
     listing = landing_files(spark, root, features)
+    if settle_seconds:
+        listing = settled(listing, F.current_timestamp(), settle_seconds)
     previous = read_file_log(spark, store)
     previous = previous.filter((F.col("operation_id") != batch_id) & (F.col("status") == SUCCESS))
     if path_only:

@@ -20,7 +20,7 @@ from tillstone.operators.oplog import run_stats
 from tillstone.plans.bronze import write_batch
 from tillstone.session import working_folder
 from tillstone.sources import workbooks
-from tillstone.sources.files import WORKBOOK_GLOB, fingerprints
+from tillstone.sources.files import WORKBOOK_GLOB, delete_listed, fingerprints
 from tillstone.sources.sinks import delete_paths, read_table_or_none
 
 FOLDER, SHEET = "__workbook", "__sheet"
@@ -107,16 +107,32 @@ def _log(spark: SparkSession, store: LandingStore, files: DataFrame, cells: Data
     write_batch(events.withColumn("run", F.md5(F.lit(processed_at))), f"{store.logs}/manifest", ("run",))
 
 
-def clean_orphans(spark: SparkSession, root: str, store: LandingStore, processed_at: str) -> list[str]:
-    """Delete the outputs of workbooks that are gone, drop them from the manifest, and log it."""
+def delete_orphans(spark: SparkSession, root: str, store: LandingStore, processed_at: str) -> DataFrame:
+    """Delete, in tasks, the outputs of workbooks that are gone; returns a log row for each output.
+
+    The log is written with the deletion. The workbooks leave the manifest after it, those with an output
+    that could not be deleted stay for the next run.
+    """
     held = manifest(spark, store)
     listing = fingerprints(spark, root, WORKBOOK_GLOB)
-    orphans = orphaned_outputs(held, listing)
-    gone = delete_paths(spark, [f"{store.tables}/{row.output_file}" for row in orphans.toLocalIterator()])
-    left = held.join(listing.select("file_path"), "file_path", "left_anti")
+    run = F.md5(F.lit(f"orphans {processed_at}"))
+    orphans = orphaned_outputs(held, listing).withColumn("uri", F.concat(F.lit(f"{store.tables}/"), "output_file"))
+    log = delete_listed(orphans).drop("uri").withColumns({"processed_at": F.lit(processed_at), "run": run})
+    write_batch(log, f"{store.logs}/orphans", ("run",))
+    logged = read_table_or_none(spark, f"{store.logs}/orphans")
+    if logged is None:
+        logged = spark.createDataFrame([], "file_path string, output_file string, deleted boolean, error_message string, processed_at string")
+    logged = logged.filter(F.col("processed_at") == processed_at)
+    left = held.join(listing.select("file_path"), "file_path", "left_anti").join(logged.filter(~F.col("deleted")), "file_path", "left_anti")
     events = left.withColumns({"processed_at": F.lit(processed_at), "deleted": F.lit(True)})
-    write_batch(events.withColumn("run", F.md5(F.lit(f"orphans {processed_at}"))), f"{store.logs}/manifest", ("run",))
-    return gone
+    write_batch(events.withColumn("run", run), f"{store.logs}/manifest", ("run",))
+    return logged.select("file_path", "output_file", "deleted", "error_message", "processed_at")
+
+
+def clean_orphans(spark: SparkSession, root: str, store: LandingStore, processed_at: str) -> list[str]:
+    """Paths of the outputs that ``delete_orphans`` deleted; for small landings."""
+    log = delete_orphans(spark, root, store, processed_at)
+    return [f"{store.tables}/{row.output_file}" for row in log.filter("deleted").collect()]
 
 
 def read_landed(spark: SparkSession, store: LandingStore, output: str) -> DataFrame:

@@ -205,6 +205,51 @@ def duplicates_removed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select(F.lit("detailed_invoices").alias("target_table"), F.col("affected_rows").alias("removed_rows"))
 
 
+@query("bronze_deduplicated", sql.with_tables(SQL_BRONZE_DETAILED) + """SELECT DISTINCT trim(DOCUMENT_NUMBER) AS DOCUMENT_NUMBER, trim(ITEM_CODE) AS ITEM_CODE,
+  trim(TRN_DATE) AS TRN_DATE, AMOUNT, 2 AS versions FROM bronze_detailed""")
+def bronze_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a bronze table's second version without repeats; the first one stays readable."""
+    store, target = _store(spark), working_folder(spark, "deduplicated")
+    bronze.load_bronze(spark, _landing(spark, sf_dir), store, 1, _LOADED)
+    for version in (1, 2):
+        table = medallion.write_deduplicated(spark, store, target, "detailed", version, _LOADED)
+    versions = table.versions().count()
+    return table.read().select(*silver.BRONZE_KEYS["detailed"], F.lit(versions).alias("versions"))
+
+
+@query("state_json", """SELECT s_suppkey AS id, s_name AS name, NULL AS corrupt_line FROM supplier
+UNION ALL SELECT NULL, NULL, '{"id": ' || s_suppkey FROM supplier WHERE s_suppkey % 10 = 0""")
+def state_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of JSON lines of which some are cut short."""
+    path = working_folder(spark, "state")
+    suppliers = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    whole = suppliers.select(F.to_json(F.struct("id", "name")).alias("value"))
+    torn = suppliers.filter(F.col("id") % 10 == 0).select(F.concat(F.lit('{"id": '), F.col("id").cast("string")).alias("value"))
+    whole.unionByName(torn).write.text(path)
+    return sinks.read_state_json(spark, path, "id bigint, name string")
+
+
+_KINDS = ("xls", "xlsx", "xlsm", "xlsb", "csv", "xlsx~")
+
+
+@query("list_workbooks", f"""SELECT {list(_KINDS)!r}[s_suppkey % {len(_KINDS)} + 1] AS kind, count(*) AS found FROM supplier
+WHERE s_suppkey % {len(_KINDS)} < 4 GROUP BY ALL""")
+def list_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that the landing takes for workbooks, among files of a folder tree."""
+    root = working_folder(spark, "mixed")
+
+    def create(batches):
+        for batch in batches:
+            for key in batch["s_suppkey"].to_pylist():
+                with files.create_file(f"{root}/{key % 3}/{key}.{_KINDS[key % len(_KINDS)]}") as handle:
+                    handle.write(b"x")
+            yield batch
+
+    read_table(spark, sf_dir, "supplier").select("s_suppkey").mapInArrow(create, "s_suppkey bigint").write.parquet(working_folder(spark, "created"))
+    listed = files.list_files(spark, root, files.WORKBOOK_GLOB)
+    return listed.groupBy(F.regexp_extract("file_path", "[.]([^.]+)$", 1).alias("kind")).agg(F.count(F.lit(1)).alias("found"))
+
+
 @query("stream_bronze", f"""SELECT *, 'orders.parquet' AS source_file,
   TIMESTAMP '{_LOADED}' AS load_timestamp, 1000000000 AS batch_id FROM orders""")
 def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,6 +64,19 @@ def scan_tree(
     return rows.select("*", source_path().alias("source_file_path"))
 
 
+def scan_sound(spark: SparkSession, root: str, glob: str = PARQUET_GLOB) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of all files below ``root`` whose footers can be read, and an error row for every other file."""
+    listing = list_files(spark, root, glob)
+    schemas = file_schemas(listing)
+    errors = schemas.filter(F.col("error_message").isNotNull()).select("file_path", "error_message")
+    # the paths of a read are on the driver anyway, in Spark's file index
+    sound = [r.uri for r in listing.join(errors, "file_path", "left_anti").select("uri").collect()]
+    if not sound:
+        return None, errors
+    rows = spark.read.option("mergeSchema", True).parquet(*readable(sound))
+    return rows.select("*", source_path().alias("source_file_path")), errors
+
+
 def list_files(spark: SparkSession, root: str | Sequence[str], glob: str = PARQUET_GLOB) -> DataFrame:
     """Path, size and modification time of each file; no file is opened."""
     roots = [root] if isinstance(root, str) else list(root)
@@ -77,23 +90,65 @@ def list_files(spark: SparkSession, root: str | Sequence[str], glob: str = PARQU
     return files.select(*_listing_columns())
 
 
-def settled(listing: DataFrame, now: str, delay_seconds: int = 30) -> DataFrame:
+def settled(listing: DataFrame, now: str | Column, delay_seconds: int = 30) -> DataFrame:
     """Files last written at least ``delay_seconds`` before ``now``; younger ones may be incomplete."""
-    cutoff = F.lit(now).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_seconds))
+    cutoff = (F.lit(now) if isinstance(now, str) else now).cast("timestamp") - F.make_dt_interval(secs=F.lit(delay_seconds))
     return listing.filter(F.col("last_modified") <= cutoff)
 
 
-def open_file(uri: str):
-    """A listed file for reading by blocks or at random, from inside a task."""
+def store_of(uri: str):
+    """The store of a listed file or folder and its path there, for use inside a task."""
     import pyarrow.fs as fs
 
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + uri[len("file:"):].lstrip("/"))
+    if uri.startswith(("file:", "/")):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
     scheme, _, rest = re.sub("^s3[an]:", "s3:", uri).partition(":")
-    system, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+
+
+def open_file(uri: str):
+    """A listed file for reading by blocks or at random, from inside a task."""
+    system, inner = store_of(uri)
     return system.open_input_file(inner)
 
 
+def create_file(uri: str):
+    """A new file for writing from inside a task, in place of one that is there."""
+    system, inner = store_of(uri)
+    system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    return system.open_output_stream(inner)
+
+
+def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import pyarrow.fs as fs
+
+    for batch in batches:
+        gone, errors = [], []
+        for uri in batch["uri"].to_pylist():
+            error = None
+            try:
+                system, inner = store_of(uri)
+                kind = system.get_file_info(inner).type
+                if kind == fs.FileType.Directory:
+                    system.delete_dir(inner)
+                elif kind == fs.FileType.File:
+                    system.delete_file(inner)
+            except Exception as failed:
+                error = str(failed)
+            gone.append(error is None)
+            errors.append(error)
+        yield batch.append_column("deleted", pa.array(gone, pa.bool_())).append_column("error_message", pa.array(errors, pa.string()))
+
+
+def delete_listed(paths: DataFrame) -> DataFrame:
+    """Delete the files and folders in column ``uri``, in tasks; adds whether they are gone and the error.
+
+    What is not there counts as gone, so a task that is run again says the same.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in paths.schema.fields)
+    return paths.mapInArrow(_delete, f"{schema}, deleted boolean, error_message string")
+
+
 def _hash_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []

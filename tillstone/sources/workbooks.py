@@ -11,16 +11,18 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import groupby
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape, quoteattr
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillstone.functions.naming import clean_headers, strip_scheme
+from tillstone.functions.naming import clean_headers, quoted, strip_scheme
 from tillstone.operators.profile import drop_empty_columns, drop_empty_rows
-from tillstone.sources.files import WORKBOOK_GLOB
+from tillstone.sources.files import WORKBOOK_GLOB, create_file
 
 CELL_SCHEMA = "file_path string, sheet_name string, row_number int, column_number int, value string, error_message string"
 _CELL_NAMES = ["file_path", "sheet_name", "row_number", "column_number", "value", "error_message"]
@@ -262,3 +264,66 @@ def clean_sheet(df: DataFrame) -> DataFrame:
     """An already tabular sheet without empty rows and columns, with cleaned headers."""
     kept = drop_empty_columns(drop_empty_rows(df))
     return kept.toDF(*clean_headers(kept.columns))
+
+
+# Fixed values of the workbook format: names of its parts and of the links between them.
+_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_DOCUMENT_LINKS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_PACKAGE_LINKS = "http://schemas.openxmlformats.org/package/2006/relationships"
+_TYPES = "http://schemas.openxmlformats.org/package/2006/content-types"
+_KIND = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+
+
+def _row_text(number: int, values: list) -> bytes:
+    cells = "".join("<c/>" if v is None else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>' for v in values)
+    return f'<row r="{number}">{cells}</row>'.encode()
+
+
+def _write_book(handle, columns: list[str], rows: Iterator[tuple]) -> tuple[int, int]:
+    """Write rows (sheet, values), which come sheet by sheet, as they come; returns numbers of sheets and rows."""
+    names, total = [], 0
+    with zipfile.ZipFile(handle, "w", zipfile.ZIP_DEFLATED) as book:
+        for sheet, members in groupby(rows, key=lambda row: row[0]):
+            names.append(sheet)
+            with book.open(f"xl/worksheets/sheet{len(names)}.xml", "w") as part:
+                part.write(f'<worksheet xmlns="{_MAIN}"><sheetData>'.encode() + _row_text(1, columns))
+                for number, (_, values) in enumerate(members, 2):
+                    part.write(_row_text(number, values))
+                    total += 1
+                part.write(b"</sheetData></worksheet>")
+        listed = list(enumerate(names, 1))
+        sheets = "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="rId{i}"/>' for i, n in listed)
+        links = "".join(f'<Relationship Id="rId{i}" Type="{_DOCUMENT_LINKS}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i, _ in listed)
+        kinds = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{_KIND}.worksheet+xml"/>' for i, _ in listed)
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN}" xmlns:r="{_DOCUMENT_LINKS}"><sheets>{sheets}</sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{_PACKAGE_LINKS}">{links}</Relationships>')
+        book.writestr("_rels/.rels", f'<Relationships xmlns="{_PACKAGE_LINKS}"><Relationship Id="rId1" Type="{_DOCUMENT_LINKS}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        book.writestr("[Content_Types].xml", f'<Types xmlns="{_TYPES}"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+                                             f'<Override PartName="/xl/workbook.xml" ContentType="{_KIND}.sheet.main+xml"/>{kinds}</Types>')
+    return len(names), total
+
+
+def write_workbooks(rows: DataFrame, root: str, workbook: str, sheet: str, order: list[str]) -> DataFrame:
+    """Write a workbook ``<root>/<workbook>.xlsx`` for each value, a sheet for each of its sheets, as text cells.
+
+    Rows come to tasks sorted and are written as they come, so a task holds one row at a time. Returns
+    (file_path, sheets, rows); the files are written as it is evaluated, and a task that is run again
+    replaces them.
+    """
+    columns = [name for name in rows.columns if name not in (workbook, sheet)]
+    texts = rows.select(F.col(workbook).alias("__book"), F.col(sheet).alias("__sheet"), *[F.col(quoted(name)).cast("string").alias(f"c{i}") for i, name in enumerate(columns)],
+                        F.struct(*[F.col(quoted(name)) for name in order]).alias("__order"))
+    placed = texts.repartition("__book").sortWithinPartitions("__book", "__sheet", "__order").drop("__order")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = ((row[0], (row[1], list(row[2:]))) for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        written = []
+        for book, members in groupby(listed, key=lambda row: row[0]):
+            path = f"{root}/{book}.xlsx"
+            with create_file(path) as handle:
+                written.append((path, *_write_book(handle, columns, (row for _, row in members))))
+        kinds = (pa.string(), pa.int32(), pa.int64())
+        parts = list(zip(*written, strict=True)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(parts, kinds, strict=True)], names=["file_path", "sheets", "rows"])
+
+    return placed.mapInArrow(run, "file_path string, sheets int, rows bigint")
