@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,27 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def let_go() -> None:
+    """Give memory that a task no longer uses back to the machine; Python workers live on with the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library, which has no such call
+
+
+def letting_go(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, and then ``let_go``."""
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            let_go()
+
+    return wrapped
+
+
 def lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     """List array with values[bounds[i]:bounds[i + 1]] as its i-th item."""
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values, type=kind))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import cut, lists, signed, small
+from tillstone.llm.common import cut, letting_go, lists, signed, small
 from tillstone.llm.kernels import BASE, U64, Words, inside_rows, mix, slices
 
 # 1: looked at, 0: ignored. Eleven of eighteen words, in the well-known arrangement and reversed.
@@ -189,10 +189,10 @@ def _spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", tex
     """``contaminated_spans`` with k, the hash of the text that was found."""
     items = cut(benchmark.select(F.monotonically_increasing_id().alias("row"), F.col(item_column).cast("long").alias("id"),
                                  F.coalesce(F.col(item_text_column), F.lit("")).alias("text")))
-    item_words = cut(items.mapInArrow(_word_lists, "row long, words array<long>"))
+    item_words = cut(items.mapInArrow(letting_go(_word_lists), "row long, words array<long>"))
     short = [] if every else [r[0] for r in item_words.select(F.size("words").alias("n")).filter(F.col("n").between(LEAST_WORDS, len(MASKS[0]) - 1)).distinct().collect()]
     masks = EVERY if every else MASKS + tuple(MASKS[0][:n] for n in sorted(short))
-    item_seeds = cut(items.mapInArrow(_seeds(masks, True, None), SEEDS).select(
+    item_seeds = cut(items.mapInArrow(letting_go(_seeds(masks, True, None)), SEEDS).select(
         F.col("row").alias("item_row"), F.col("id").alias("item_id"), F.col("at").alias("item_at"), "seed"))
     distinct = item_seeds.select("seed").distinct()
     known = None
@@ -203,17 +203,17 @@ def _spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", tex
 
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("id"),
                         F.coalesce(F.col(text_column), F.lit("")).alias("text"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("k"))
-    seeds = texts.select("id", F.col("k").alias("row"), "text").mapInArrow(_seeds(masks, False, known), SEEDS)
+    seeds = texts.select("id", F.col("k").alias("row"), "text").mapInArrow(letting_go(_seeds(masks, False, known)), SEEDS)
     hits = seeds.join(small(item_seeds), "seed").select("id", F.col("row").alias("k"), "item_row", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
     shifts = cut(hits.groupBy("id", "k", "item_row", "item_id").agg(F.collect_set("shift").alias("shifts")))
 
     # words of the documents that were hit; told by id and a hash of the text
     ids = small(cut(shifts.select(F.col("id").alias("hit_id")).distinct()))
     hit_texts = texts.join(ids, F.col("id").eqNullSafe(F.col("hit_id")), "left_semi").select("row", "id", "k", "text")
-    words = hit_texts.mapInArrow(_hit_words, "id long, k long, words array<long>").dropDuplicates(["id", "k"])
+    words = hit_texts.mapInArrow(letting_go(_hit_words), "id long, k long, words array<long>").dropDuplicates(["id", "k"])
     joined = (shifts.join(words, shifts.id.eqNullSafe(words.id) & (shifts.k == words.k)).select(shifts.id, shifts.k, "item_row", "item_id", "shifts", "words")
               .join(small(item_words.select(F.col("row").alias("item_row"), F.col("words").alias("item_words"))), "item_row"))
-    return joined.mapInArrow(_verify(every), FOUND)
+    return joined.mapInArrow(letting_go(_verify(every)), FOUND)
 
 
 def _hit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

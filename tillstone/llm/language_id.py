@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import small
+from tillstone.llm.common import let_go, small
 
 SAMPLE_ROWS = 8000
 LEAST_COUNT = 3  # of a word or n-gram that the model keeps
@@ -160,8 +160,12 @@ def predictor(spark, model: Model):
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         languages, tables = shared.value
         scores = _Scores(Model(languages, [dict(zip(items, rows.tolist(), strict=True)) for items, rows in tables]))
-        for texts in batches:
-            yield judged(texts, scores)
+        try:
+            for texts in batches:
+                yield judged(texts, scores)
+        finally:
+            del scores
+            let_go()
 
     return predict
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import connected, cut, lists, signed, small
+from tillstone.llm.common import connected, cut, letting_go, lists, signed, small
 from tillstone.llm.kernels import BASE, U64, Words, mix, shingle_hashes, slices
 
 # Sets that hold a low token, up to which it counts as rare.
@@ -257,7 +257,7 @@ def _members(docs: DataFrame, width: int, percent: int, id_column: str, text_col
     key = document_key(id_column, text_column)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), *(c.alias(name) for name, c in key.items()), F.col(text_column).alias("text"))
-    rows = cut(keyed.mapInArrow(_prefixes(width, percent), PREFIXES))
+    rows = cut(keyed.mapInArrow(letting_go(_prefixes(width, percent)), PREFIXES))
     # one row stands for all that have the same set; sets themselves stay where they were written
     sets = cut(rows.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("row").alias("rep"), F.min_by("id", "row").alias("id")))
     own = rows.join(small(sets.select(F.col("rep").alias("row"))), "row", "left_semi").select(F.col("row").alias("rep"), "n", "low", "tokens")
@@ -268,7 +268,7 @@ def _members(docs: DataFrame, width: int, percent: int, id_column: str, text_col
     # sets without any shared low token can only link through high ones, which very small sets have
     signed_sets = (own.join(shared, "rep", "left")
                    .filter(F.col("held").isNotNull() | (F.col("low") < F.floor((100 - percent) * F.col("n") / 100) + 1)))
-    signs = cut(signed_sets.mapInArrow(_sign(percent), SIGNATURES))
+    signs = cut(signed_sets.mapInArrow(letting_go(_sign(percent)), SIGNATURES))
 
     # sets whose low tokens are nearly all frequent go on into the high ones, read from their texts
     far = signs.filter("short > 0").select("rep", "short")
@@ -297,7 +297,7 @@ def _members(docs: DataFrame, width: int, percent: int, id_column: str, text_col
         F.col("block").alias("bx"), F.col("block").alias("by"), F.col("members").alias("x"), F.col("members").alias("y"))
     across = (pairs.join(blocks.select(F.col("block").alias("bx"), F.col("members").alias("x")), "bx")
               .join(blocks.select(F.col("block").alias("by"), F.col("members").alias("y")), "by").select("bx", "by", "x", "y"))
-    links = within.mapInArrow(_verify(percent), "a long, b long").unionByName(across.mapInArrow(_verify(percent), "a long, b long"))
+    links = within.mapInArrow(letting_go(_verify(percent)), "a long, b long").unionByName(across.mapInArrow(letting_go(_verify(percent)), "a long, b long"))
     found = connected(links).withColumnRenamed("node", "rep")
 
     members = rows.select("row", *KEY, "n", "s1", "s2").join(sets.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left")
@@ -347,7 +347,7 @@ def _texts_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``wanted`` (with id, n, s1, s2, rep) and the whole token sets, in order of hash, from the texts."""
     wanted = cut(wanted)
     ids = small(cut(wanted.select(F.col("id").alias("wanted_id")).distinct()))
-    read = texts.join(ids, texts.id.eqNullSafe(ids.wanted_id), "left_semi").mapInArrow(_sets(width), SETS)
+    read = texts.join(ids, texts.id.eqNullSafe(ids.wanted_id), "left_semi").mapInArrow(letting_go(_sets(width)), SETS)
     same = [read.id.eqNullSafe(wanted.id), *(read[c] == wanted[c] for c in ("n", "s1", "s2"))]
     joined = wanted.join(read, same).select(*(wanted[c] for c in wanted.columns), read.tokens)
     return joined.dropDuplicates(["rep"])

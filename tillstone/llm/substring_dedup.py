@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import cut, lists, signed, small
+from tillstone.llm.common import cut, letting_go, lists, signed, small
 from tillstone.llm.kernels import SECOND_BASE, Prefix, Words, anchor_runs, mix, slices
 
 WINDOW = 50
@@ -168,13 +168,13 @@ def _cleaned(texts: DataFrame, scanned: DataFrame, window: int, with_texts: bool
     least = windows.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
     marks = windows.join(least, ["h1", "h2"]).filter("least < id").groupBy("x").agg(F.collect_set("at").alias("marks"))
     marked = found.join(marks, "x", "left").filter(F.col("marks").isNotNull() | F.exists("spans", lambda s: ~s["opened"]))
-    return marked.mapInArrow(_clean(window, with_texts), CLEANED).dropDuplicates(list(KEY))
+    return marked.mapInArrow(letting_go(_clean(window, with_texts)), CLEANED).dropDuplicates(list(KEY))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id, n_words, n_removed, kept_sha256 of every row."""
     texts = keyed(docs, id_column, text_column)
-    scanned = cut(texts.select(F.monotonically_increasing_id().alias("row"), *KEY, "text").mapInArrow(_scan(window, gram), SCANNED))
+    scanned = cut(texts.select(F.monotonically_increasing_id().alias("row"), *KEY, "text").mapInArrow(letting_go(_scan(window, gram)), SCANNED))
     cleaned = _cleaned(texts, scanned, window, with_texts=False).select(*KEY, "n_removed", "kept_sha")
     return scanned.select(*KEY, "n_words", "sha").join(cleaned, list(KEY), "left").select(
         F.when(F.col("id") != LAST_ID, F.col("id")).alias(id_column), "n_words",
@@ -185,7 +185,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
     """The documents, all columns, with repeated spans cut out of their texts; those left without a
     word by this are dropped."""
     texts = keyed(docs, id_column, text_column)
-    scanned = cut(texts.select(F.monotonically_increasing_id().alias("row"), *KEY, "text").mapInArrow(_scan(window, gram), SCANNED))
+    scanned = cut(texts.select(F.monotonically_increasing_id().alias("row"), *KEY, "text").mapInArrow(letting_go(_scan(window, gram)), SCANNED))
     cleaned = cut(_cleaned(texts, scanned, window, with_texts=True).filter("n_removed > 0").select(
         *(F.col(c).alias(f"__{c}") for c in KEY), F.col("kept_text").alias("__kept")))
     ids = small(cut(cleaned.select("__id").distinct()))
