@@ -118,7 +118,37 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
-@query("op13_centroid_clustering")
+def cluster_sql(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """Plain rounds: all distances, the least by distance and number, floors of exact means."""
+    parts = [f"""kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM kept
+    ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v LIMIT {k}
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min((d, c)) AS best FROM (
+        SELECT kept.*, c, list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept, c{i}
+    ) GROUP BY r
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+    SELECT c, coalesce(any_value(moved), any_value(v)) AS v FROM c{i} LEFT JOIN (
+        SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY place) AS moved FROM (
+            SELECT best[2] AS c, place, sum(x)::BIGINT AS s, count(*) AS n
+            FROM (SELECT best, unnest(v) AS x, unnest(range({dims})) AS place FROM a{i}) GROUP BY ALL
+        ) GROUP BY c
+    ) USING (c) GROUP BY c
+)""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, c::INTEGER AS cluster, best[1] AS distance, (sum(best[1]) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+    (sum(best[1]) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c = best[2]"""
+
+
+@query("op13_centroid_clustering", cluster_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillstone.llm.centroid_clustering import cluster_vectors
 
