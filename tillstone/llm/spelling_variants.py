@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tillstone.llm.common import cut, small
 
-RUN = re.compile(r"[A-Za-zÀ-ÿ]+")
+LETTERS = "[A-Za-zÀ-ÿ]"
 LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
 PIECES = 3
 CROWDED = 32
@@ -55,6 +55,8 @@ def noisy(doc_id, run: str, every: int) -> str:
 
 def _counts(batches: Iterator[pa.RecordBatch], every: int, least_length: int) -> Iterator[pa.RecordBatch]:
     held: Counter[str] = Counter()
+    # a shorter run can only lose a code point; a run that is long enough is matched whole from its start
+    runs = re.compile(f"{LETTERS}{{{least_length},}}")
     for batch in batches:
         for doc_id, text in zip(batch.column("id"), batch.column("text"), strict=True):
             text = text.as_py()
@@ -62,9 +64,8 @@ def _counts(batches: Iterator[pa.RecordBatch], every: int, least_length: int) ->
                 continue
             doc_id = doc_id.as_py()
             lowered: Counter[str] = Counter()
-            for run, n in Counter(RUN.findall(text)).items():
-                if len(run) >= least_length:
-                    lowered[run.lower() if run.isascii() else run.translate(LOWER)] += n
+            for run, n in Counter(runs.findall(text)).items():
+                lowered[run.lower() if run.isascii() else run.translate(LOWER)] += n
             for run, n in lowered.items():
                 word = noisy(doc_id, run, every)
                 if len(word) >= least_length:
