@@ -5,8 +5,6 @@ from __future__ import annotations
 import random
 import re
 
-import numpy as np
-
 from tillstone.llm import decontaminate as dc
 
 
@@ -14,28 +12,6 @@ def words_of(text):
     return re.findall(r"[a-z0-9\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
-def brute(docs, items):
-    """Document and item pairs with a stretch that holds a seed and passes the comparison."""
-    out = set()
-    for d, text in docs:
-        a = words_of(text)
-        for i, item in items:
-            b = words_of(item)
-            if len(b) < dc.LEAST_WORDS:
-                continue
-            masks = dc.MASKS if len(b) >= len(dc.MASKS[0]) else (dc.MASKS[0][:len(b)],)
-            for shift in range(-len(b), len(a)):
-                hit = any(all(bit == "0" or a[p + shift + k] == b[p + k] for k, bit in enumerate(m))
-                          for m in masks for p in range(len(b) - len(m) + 1) if p + shift >= 0 and p + shift + len(m) <= len(a))
-                if not hit:
-                    continue
-                code = {w: k for k, w in enumerate(dict.fromkeys(a + b))}
-                s, e, equal = dc.best_stretch(np.array([code[w] for w in a]), np.array([code[w] for w in b]), shift)
-                if e - s >= min(len(b), 18) and equal >= 0.8 * (e - s):
-                    out.add((d, i, s + shift, e + shift, s, e, equal))
-    return out
-
-
 def made():
     rng = random.Random(2)
     vocab = [f"w{i}" for i in range(300)] + ["É", "naïve"]
@@ -56,39 +32,28 @@ def made():
     return docs + [(100, ""), (101, None), (3, docs[3][1])], [(i, " ".join(w) + ".") for i, w in items] + [(30, None)]
 
 
-def test_against_every_alignment(spark, monkeypatch):
-    docs, items = made()
-    want = brute(docs, items)
-    assert len(want) > 15
-    for limit in (dc.SEED_LIMIT, 0):
-        monkeypatch.setattr(dc, "SEED_LIMIT", limit)
-        got = dc.contaminated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string"))
-        rows = [tuple(r) for r in got.collect()]
-        assert len(rows) == len(set(rows)) and set(rows) == want
-
-
 def plain(docs, items):
-    """Document, item and alignment of which a window has four fifths equal; no seeds."""
+    """Document, item and alignment of which a window has four fifths equal, or a short item all; no seeds."""
     out = set()
     for d, text in docs:
         a = words_of(text)
         for i, item in items:
             b = words_of(item)
             n = min(len(b), 18)
-            for shift in range(-len(b), len(a)) if n >= dc.LEAST_WORDS else ():
+            for shift in range(-len(b), len(a)) if n >= 4 or (n and len(a) == n) else ():
                 equal = [0 <= p + shift < len(a) and a[p + shift] == b[p] for p in range(len(b))]
-                if any(5 * sum(equal[p:p + n]) >= 4 * n and p + shift >= 0 and p + n + shift <= len(a) for p in range(len(b) - n + 1)):
+                if any(sum(equal[p:p + n]) >= (n if n < 8 else 0.8 * n) and p + shift >= 0 and p + n + shift <= len(a) for p in range(len(b) - n + 1)):
                     out.add((d, i, shift))
     return out
 
 
-def test_every_alignment_without_the_seed_condition(spark, monkeypatch):
+def test_against_every_alignment(spark, monkeypatch):
     rng = random.Random(4)
-    items = [(n, [f"k{n}x{i}" for i in range(n)]) for n in [*range(7, 26), 40]]
+    items = [(n, [f"k{n}x{i}" for i in range(n)]) for n in [*range(1, 26), 40]]
     docs, d = [], 0
     for n, item in items:
-        may = n - -(-4 * n // 5) if n < 18 else 3
-        places = [[p] for p in range(n)] + [rng.sample(range(n), k) for k in (may, may, may, may + 1) for _ in range(4)]
+        may = 0 if n < 8 else n - -(-4 * n // 5) if n < 18 else 3
+        places = [[p] for p in range(n)] + [rng.sample(range(n), k) for k in (may, may, may, may + 1) for _ in range(4)] + [[]]
         for changed in places:
             piece = ["changed" if p in changed else w for p, w in enumerate(item)]
             docs.append((d := d + 1, " ".join(["before"] * (d % 3) + piece + ["after"] * (d % 2))))
@@ -100,7 +65,7 @@ def test_every_alignment_without_the_seed_condition(spark, monkeypatch):
     for limit in (dc.SEED_LIMIT, 0):
         monkeypatch.setattr(dc, "SEED_LIMIT", limit)
         rows = dc.contaminated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
-                                     spark.createDataFrame(items, "item_id long, text string"), every=True).collect()
+                                     spark.createDataFrame(items, "item_id long, text string")).collect()
         assert len(rows) == len(want) and {(r.id, r.item_id, r.doc_start - r.item_start) for r in rows} == want
         assert all(r.doc_end - r.doc_start == r.item_end - r.item_start and 5 * r.n_equal >= 4 * (r.item_end - r.item_start) for r in rows)
 
@@ -111,6 +76,13 @@ def test_one_substitution_in_a_short_item_leaks(spark):
     assert dc.without_contaminated(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).count() == 0
 
 
+def test_short_items_are_matched_whole(spark):
+    items = spark.createDataFrame([(7, "one two three four five six seven"), (3, "yes it is"), (1, "no")], "item_id long, text string")
+    docs = [(1, "x one two three four five six seven y"), (2, "x one two three four five six other y"), (3, "Yes, it is!"), (4, "and yes it is so"), (5, "no"), (6, "no no")]
+    got = dc.contaminated_spans(spark.createDataFrame(docs, "doc_id long, text string"), items)
+    assert {(r.id, r.item_id, r.doc_start, r.doc_end) for r in got.collect()} == {(1, 7, 1, 8), (3, 3, 0, 3), (5, 1, 0, 1)}
+
+
 def test_stage_and_edge_cases(spark):
     item = " ".join(f"k{i}" for i in range(30))
     docs = spark.createDataFrame([(1, f"before {item} after", "a"), (2, "clean text", "b"), (None, item, "c"), (3, None, "d")], "doc_id long, text string, id string")

@@ -11,13 +11,12 @@ so of its six runs of three words three are equal, and two of these are at most
 of 12 to 17 words at least two runs of three are equal, of one of 8 to 11 at least three runs of two. So
 each of these masks looks at two runs of three words or three runs of two.
 
-``contaminated_spans`` without ``every`` is the narrower search with two masks of 11 in 18 words: items
-shorter than that use the first mask's beginning, and only a stretch counts that is as long as the window
-after its ends were cut where a substitution costs more (four equal words) than lies beyond it. The query
-and the pipeline search with ``every``.
+An item of four to seven words has no room for a substitution: it matches where all its words stand one
+after the other. One of fewer words cannot be told from ordinary phrases and matches only a document that
+has no other words.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z in lower case, so marks and line breaks do
-not matter. Items of fewer than ``LEAST_WORDS`` words cannot be told from ordinary phrases and match nothing.
+not matter. An item without words matches nothing.
 
 The distinct seed hashes of the benchmark, if they were counted as at most ``SEED_LIMIT``, go to the tasks,
 which then send only seeds that can meet; beyond that all seeds are sent and the join alone decides.
@@ -39,11 +38,14 @@ from pyspark.sql import functions as F
 from tillstone.llm.common import cut, letting_go, lists, signed, small
 from tillstone.llm.kernels import BASE, U64, Words, inside_rows, mix, slices
 
-# 1: looked at, 0: ignored. Eleven of eighteen words, in the well-known arrangement and reversed.
-MASKS = ("111010010100110111", "111011001010010111")
-# Two runs of three words, up to 12 apart, and three runs of two; the first is both.
+# Words of a window.
+WINDOW = 18
+# 1: looked at, 0: ignored. Two runs of three words, up to 12 apart, and three runs of two; the first is both.
 EVERY = ("111111", "111000111", "111000000111", "111000000000111", "11110011", "11001111", "1111000011", "1100001111", "1100110011")
+# Items from so many words on may lack some; shorter ones are matched whole.
 LEAST_WORDS = 8
+# Items from so many words on are looked for within documents; shorter ones are compared with whole documents.
+LEAST_INSIDE = 4
 SUBSTITUTION = 4
 LEAST_SHARE = 0.8
 SEED_LIMIT = 2_000_000
@@ -67,15 +69,17 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
 SEEDS = "row long, id long, at int, seed long"
 
 
-def every_seed(mask: str, length: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether a mask of ``EVERY`` is needed at a place of an item of so many words."""
-    pairs, triples = mask in EVERY[:4], mask not in EVERY[1:4]
-    long = (length >= len(MASKS[0])) & (mask in EVERY[:2])
-    middle = (length >= 12) & (length < len(MASKS[0])) & pairs & (at % 3 == 0)
-    return long | middle | ((length >= LEAST_WORDS) & (length < 12) & triples & (at % 2 == 0))
+def needed(mask: str, length: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a mask is needed at a place of an item of so many words."""
+    pairs, triples = mask in EVERY[:4], mask in (EVERY[0], *EVERY[4:])
+    long = (length >= WINDOW) & (mask in EVERY[:2])
+    middle = (length >= 12) & (length < WINDOW) & pairs & (at % 3 == 0)
+    short = (length >= LEAST_WORDS) & (length < 12) & triples & (at % 2 == 0)
+    whole = (length < LEAST_WORDS) & (length == len(mask)) & ("0" not in mask)
+    return long | middle | short | whole
 
 
-def _seeds(masks: tuple[str, ...], whole_item: bool, known: np.ndarray | None):
+def _seeds(masks: tuple[str, ...], of_item: bool, known: np.ndarray | None):
     """Seeds of every text; of documents, only those in ``known`` where it is given."""
     table = None
     if known is not None:
@@ -93,11 +97,11 @@ def _seeds(masks: tuple[str, ...], whole_item: bool, known: np.ndarray | None):
                 for mask in masks:
                     found = seed_hashes(hashes, mask)
                     fits = inside_rows(words.rows, len(mask))[:len(found)]
-                    if whole_item:
-                        # a full mask anywhere in a long item; a shortened one only on an item of its length
-                        length = sizes[owner[:len(found)]]
-                        fits &= every_seed(mask, length, np.arange(len(found)) - words.rows[owner[:len(found)]]) if masks == EVERY else (
-                            (length >= LEAST_WORDS) & ((length == len(mask)) | (len(mask) == len(MASKS[0]))))
+                    length = sizes[owner[:len(found)]]
+                    if of_item:
+                        fits &= needed(mask, length, np.arange(len(found)) - words.rows[owner[:len(found)]])
+                    elif len(mask) < LEAST_INSIDE:
+                        fits &= length == len(mask)
                     if table is not None:
                         fits &= table[(found >> U64(44)).astype(np.int64)]
                     at = np.flatnonzero(fits)
@@ -142,7 +146,7 @@ def best_window(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int
     """As ``best_stretch``, of the alignment as it is: the best stretch if it holds a window, else the
     window with most equal words, the first of such; nothing if that has too few."""
     low, high = max(0, -shift), min(len(item), len(document) - shift)
-    width = min(len(item), len(MASKS[0]))
+    width = min(len(item), WINDOW)
     if high - low < width:
         return 0, 0, 0
     sums = np.concatenate([[0], np.cumsum(item[low:high] == document[low + shift:high + shift])])
@@ -157,41 +161,37 @@ def best_window(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int
 FOUND = "id long, k long, item_id long, doc_start int, doc_end int, item_start int, item_end int, n_equal int"
 
 
-def _verify(every: bool):
-    best = best_window if every else best_stretch
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                document = batch.column("words")[i].values.to_numpy()
-                item = batch.column("item_words")[i].values.to_numpy()
-                for shift in batch.column("shifts")[i].as_py():
-                    a, b, equal = best(document, item, shift)
-                    if b - a >= min(len(item), len(MASKS[0])) and equal >= LEAST_SHARE * (b - a):
-                        out.append((batch.column("id")[i].as_py(), batch.column("k")[i].as_py(), batch.column("item_id")[i].as_py(), a + shift, b + shift, a, b, equal))
-            columns = list(zip(*out, strict=True)) if out else [()] * 8
-            kinds = (*[pa.int64()] * 3, *[pa.int32()] * 5)
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                  names=["id", "k", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_equal"])
-
-    return run
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for i in range(batch.num_rows):
+            document = batch.column("words")[i].values.to_numpy()
+            item = batch.column("item_words")[i].values.to_numpy()
+            for shift in batch.column("shifts")[i].as_py():
+                a, b, equal = best_window(document, item, shift)
+                if b - a >= min(len(item), WINDOW) and equal >= LEAST_SHARE * (b - a):
+                    out.append((batch.column("id")[i].as_py(), batch.column("k")[i].as_py(), batch.column("item_id")[i].as_py(), a + shift, b + shift, a, b, equal))
+        columns = list(zip(*out, strict=True)) if out else [()] * 8
+        kinds = (*[pa.int64()] * 3, *[pa.int32()] * 5)
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                              names=["id", "k", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_equal"])
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                       item_column: str = "item_id", item_text_column: str = "text", every: bool = False) -> DataFrame:
-    """id, item_id and the word places of every verified overlap; with ``every``, of all there are."""
-    return _spans(docs, benchmark, id_column, text_column, item_column, item_text_column, every).drop("k").distinct()
+                       item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
+    """id, item_id and the word places of every verified overlap."""
+    return _spans(docs, benchmark, id_column, text_column, item_column, item_text_column).drop("k").distinct()
 
 
 def _spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-           item_column: str = "item_id", item_text_column: str = "text", every: bool = True) -> DataFrame:
+           item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
     """``contaminated_spans`` with k, the hash of the text that was found."""
     items = cut(benchmark.select(F.monotonically_increasing_id().alias("row"), F.col(item_column).cast("long").alias("id"),
                                  F.coalesce(F.col(item_text_column), F.lit("")).alias("text")))
     item_words = cut(items.mapInArrow(letting_go(_word_lists), "row long, words array<long>"))
-    short = [] if every else [r[0] for r in item_words.select(F.size("words").alias("n")).filter(F.col("n").between(LEAST_WORDS, len(MASKS[0]) - 1)).distinct().collect()]
-    masks = EVERY if every else MASKS + tuple(MASKS[0][:n] for n in sorted(short))
+    lengths = item_words.select(F.size("words").alias("n")).filter(F.col("n").between(1, LEAST_WORDS - 1)).distinct()
+    # at most seven lengths; the first mask is that of a whole item of six words already
+    masks = EVERY + tuple("1" * n for n in sorted(r["n"] for r in lengths.collect()) if "1" * n not in EVERY)
     item_seeds = cut(items.mapInArrow(letting_go(_seeds(masks, True, None)), SEEDS).select(
         F.col("row").alias("item_row"), F.col("id").alias("item_id"), F.col("at").alias("item_at"), "seed"))
     distinct = item_seeds.select("seed").distinct()
@@ -213,7 +213,7 @@ def _spans(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", tex
     words = hit_texts.mapInArrow(letting_go(_hit_words), "id long, k long, words array<long>").dropDuplicates(["id", "k"])
     joined = (shifts.join(words, shifts.id.eqNullSafe(words.id) & (shifts.k == words.k)).select(shifts.id, shifts.k, "item_row", "item_id", "shifts", "words")
               .join(small(item_words.select(F.col("row").alias("item_row"), F.col("words").alias("item_words"))), "item_row"))
-    return joined.mapInArrow(letting_go(_verify(every)), FOUND)
+    return joined.mapInArrow(letting_go(_verify), FOUND)
 
 
 def _hit_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
