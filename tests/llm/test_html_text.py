@@ -41,6 +41,15 @@ def test_articles_are_one_feature_among_others():
     assert main_text(f"{menu}<article><p>Tiny.</p></article><footer>Us</footer>") == "Tiny."
 
 
+def test_page_without_known_stop_words_or_article():
+    menu = "".join(f'<li><a href="{i}">Pozycja w menu {i}</a></li>' for i in range(9))
+    story = "Wczoraj wieczorem mieszkańcy miasta zebrali się przed ratuszem, gdzie burmistrz ogłosił nowe plany rozbudowy."
+    page = f"<body><ul>{menu}</ul><h1>Ratusz</h1><p>{story}</p><p>Krótko.</p><p>{story}</p><div class='comments'><p>{story}</p></div><footer>{story}</footer>"
+    assert main_text(page) == f"Ratusz {story} Krótko. {story}"
+    # known stop words anywhere decide for the whole page
+    assert main_text(f"<body><p>{LONG}</p><div>{story}</div>") == LONG
+
+
 def test_broken_and_empty_pages():
     assert main_text(None) == "" and main_text("") == "" and main_text("<p>") == ""
     assert main_text("plain a < b text") == "plain a < b text"

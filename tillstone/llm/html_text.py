@@ -4,7 +4,8 @@ A page is cut into blocks at block-level tags. The first pass decides blocks by
 those in menus, footers, forms and the like, or mostly made of links, are boilerplate; long ones with many
 stop words are text; long ones with few stop words are boilerplate outside of articles and cannot be told
 inside; the others are too short to tell. If no block of an article has many stop words, its long blocks
-are text, as its language may have none of the known ones. The second pass gives undecided blocks the
+are text, as its language may have none of the known ones; the same goes for the long blocks outside of
+articles if the page has no text so far. The second pass gives undecided blocks the
 label of the nearest decided block before and after; where the two differ, the nearer one counts, and the
 one before if they are equally near. Headings take the label of the next decided block.
 
@@ -202,6 +203,12 @@ def labels_of(found: list[Block]) -> list[bool]:
                 if labels[i] is None and not found[i].heading and len(found[i].text) >= SHORT_CHARS:
                     labels[i] = True
 
+    if not any(labels):
+        # a page in a language without known stop words: its long blocks are text
+        for i in rest:
+            if labels[i] is False and not found[i].boilerplate and found[i].link_chars <= LINK_SHARE * len(found[i].text):
+                labels[i] = True
+
     def settle(flow: list[int]) -> list[tuple[int, bool]]:
         return list(zip(flow, inherit([labels[i] for i in flow], [found[i].heading for i in flow]), strict=True))
 
