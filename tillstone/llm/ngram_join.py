@@ -286,11 +286,13 @@ def _members(docs: DataFrame, width: int, percent: int, id_column: str, text_col
         F.xxhash64("rep"), F.ceil(F.col("home.tokens") / BLOCK_TOKENS))).alias("block")))
     of_key = met.join(placed, "rep").select("key", "kind", "level", "block").distinct()
     # blocks of which no sets are near enough in size are not compared
-    sizes = placed.groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    sizes = placed.groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.sum("n").alias("total"))
     side = lambda name: of_key.join(sizes, "block").select(
-        "key", "kind", "level", F.col("block").alias(f"b{name}"), F.col("least").alias(f"least_{name}"), F.col("most").alias(f"most_{name}"))
+        "key", "kind", "level", F.col("block").alias(f"b{name}"), *(F.col(c).alias(f"{c}_{name}") for c in ("least", "most", "total")))
+    # the first block of a pair is sent to the second, so it is the one with fewer tokens
     pairs = (side("x").join(side("y"), ["key", "kind", "level"])
-             .filter(f"bx < by and 100 * most_x >= {percent} * least_y and 100 * most_y >= {percent} * least_x").select("bx", "by").distinct())
+             .filter("total_x < total_y or (total_x = total_y and bx < by)")
+             .filter(f"100 * most_x >= {percent} * least_y and 100 * most_y >= {percent} * least_x").select("bx", "by").distinct())
     full = _texts_of(texts, placed.select("rep", "block").join(sets, "rep"), width)
     blocks = cut(full.groupBy("block").agg(F.collect_list(F.struct("rep", "tokens")).alias("members")))
     within = blocks.filter("size(members) > 1").select(
