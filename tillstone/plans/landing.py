@@ -74,7 +74,8 @@ def run_landing(spark: SparkSession, root: str, store: LandingStore, processed_a
             table = sheets.select(
                 *[F.col("cells").getItem(name).alias(name) for name in found.columns], F.col("sheet_name").alias("_source_sheet"),
                 F.lit(processed_at).alias("_processed_at"), FOLDER, SHEET)
-            write_batch(table, store.tables, (FOLDER, SHEET))
+            # a sheet is bounded by its format, so one task writes it whole, as one file
+            write_batch(table.repartition(FOLDER, SHEET), store.tables, (FOLDER, SHEET))
         _log(spark, store, files, cells, rows, processed_at)
     finally:
         delete_paths(spark, [staged])
