@@ -8,8 +8,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tillstone.operators import duplicates
 from tillstone.plans import landing, summary
 from tillstone.sources import workbooks
+from tillstone.sources.files import read_with_row_id
 from tillstone.sources.tables import bronze_detailed
 
 
@@ -72,3 +74,17 @@ def test_customers_meet_orders_and_not_lines(spark, tmp_path):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     at = next(line for line in plan.splitlines() if "Join" in line and "c_custkey" in line)
     assert "l_" not in plan[plan.index(at):].split("Relation")[0] + at
+
+
+def test_dedup_by_position_shuffles_no_wide_rows(spark, tmp_path):
+    key = F.when(F.col("id") % 50_000 != 7, F.col("id") % 50_000)
+    rows = spark.range(0, 120_000, 1, 3).select(
+        key.alias("k"), (F.col("id") % 3).alias("o"), F.when(F.col("id") % 5 > 0, F.lit("x")).alias("wide"), F.col("id"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    read = read_with_row_id(spark, str(tmp_path / "rows"))
+    position = ("_row_file", "_row_index")
+    found = duplicates.dedup_by_position(read, ["k"], ["o"], position)
+    assert "Exchange hashpartitioning" not in _plan(found)
+    expected = duplicates.dedup_keep_first(read, ["k"], ["o", *position])
+    assert found.columns == read.columns and found.count() == 50_000
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
