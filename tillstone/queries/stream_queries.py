@@ -25,8 +25,12 @@ def stream_duplicate_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = bronze_detailed(spark, sf_dir)
     positive = bronze.filter(ColumnCasts(bronze).money("AMOUNT") > 0)
     lines = silver.clean_detailed(positive, RUN).select(*silver.LINE_KEYS, *_ORDER)
+    dated, staged = lines.withColumn("day", F.to_date("bronze_load_timestamp").cast("string")), working_folder(spark, "loaded")
+    with sinks.unsorted_partitions(spark):
+        sinks.write_tree(dated, staged, partitions=["day"])
     for day in ("2025-01-01", "2025-01-02"):
-        sinks.write_tree(lines.filter(F.to_date("bronze_load_timestamp") == F.lit(day).cast("date")), f"{landing}/{day}")
+        of_day = spark.read.schema(dated.schema).parquet(staged).filter(F.col("day") == day)
+        sinks.write_tree(of_day.drop("day"), f"{landing}/{day}")
         arriving = stateful.read_lines(spark, landing, lines.schema)
         stateful.flag_stream(arriving, silver.LINE_KEYS, _ORDER, _ORDER[0], target, state, checkpoint, 7 * 86400).awaitTermination()
     return spark.read.parquet(target).drop(stateful.EPOCH)

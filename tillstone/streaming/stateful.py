@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstone.operators.duplicates import flag_duplicates, row_identity
+from tillstone.operators.duplicates import flag_by_position, row_identity
 from tillstone.plans.bronze import write_batch
 from tillstone.sources.files import PARQUET_GLOB
 from tillstone.sources.sinks import delete_paths, read_table_or_none
@@ -69,7 +69,7 @@ def _flag(batch: DataFrame, epoch: int, keys: Sequence[str], order: Sequence[str
     spark = batch.sparkSession
     seen = SeenKeys(spark, state, delay)
     kept, expired = seen.live(epoch)
-    flagged = flag_duplicates(batch, keys, order, POSITION, FLAG).persist()
+    flagged = flag_by_position(batch, keys, order, POSITION, FLAG).persist()
     try:
         # only the first row of a key in this batch can be the first of all, so one row a key meets the state
         firsts = flagged.filter(F.col(FLAG) == 0).select("*", *row_identity(keys)).join(seen.keys(kept), list(KEY), "left").persist()
