@@ -15,6 +15,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Parts and suppliers are broadcast only after they were counted, up to this many narrow rows each (about 150 MB).
+BROADCAST_ROWS = 2_000_000
+
+
+def _counted(dimension: DataFrame) -> DataFrame:
+    """With a broadcast hint if it was counted and is small; Spark's own choice otherwise.
+
+    Lines are as wide as they get when they meet a dimension, so a shuffle of them costs far more than the dimension.
+    """
+    return F.broadcast(dimension) if dimension.count() <= BROADCAST_ROWS else dimension
+
+
 def _text(value: Column) -> Column:
     return value.cast("string")
 
@@ -93,7 +105,8 @@ def bronze_detailed(spark: SparkSession, sf_dir: str, with_row_id: bool = False)
     """One row per invoice line, with the dirt the silver layer has to deal with.
 
     Lines meet orders that have met their customers by then, so customers are shuffled with orders and never
-    with lines. Copies are made after the joins.
+    with lines. Parts and suppliers are broadcast up to a size, so that lines are shuffled once. Copies are made
+    after the joins.
     """
     lines = read_table(spark, sf_dir, "lineitem")
     position = [F.col("_metadata.file_path").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1])]
@@ -103,8 +116,8 @@ def bronze_detailed(spark: SparkSession, sf_dir: str, with_row_id: bool = False)
     )
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(read_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(_counted(read_table(spark, sf_dir, "part")), F.col("l_partkey") == F.col("p_partkey"))
+        .join(_counted(read_table(spark, sf_dir, "supplier")), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     joined = joined.select("*", _copies(F.col("l_orderkey")).alias("copy"))
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
