@@ -1,7 +1,10 @@
-"""Lines are shuffled once."""
+"""Lines are shuffled once, and paths cost little per row."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tillstone.functions.naming import plain_path, strip_scheme
 from tillstone.sources import tables
 
 ROWS = {
@@ -30,3 +33,18 @@ def test_lines_are_shuffled_once(spark, tmp_path, monkeypatch):
     # dimensions above the size are left to Spark
     monkeypatch.setattr(tables, "BROADCAST_ROWS", 0)
     assert _bronze_plan(spark, tmp_path).count(shuffled) == 3
+
+
+def test_plain_paths_meet_no_pattern(spark):
+    uris = ["file:///tmp/a/b.parquet", "file:/tmp/x", "s3a://bucket/x/y:/z", "viewfs://store/in/1", "hdfs:////a//b", "/plain/p", "/a:/b", "abc", "",
+            ":/x", "a+b:/x+y", "file:///tmp/a%20b+c%2Bd", "s3a://b/%C3%A4/x", "file:///tmp/ä+ö/x", "file:///", "file:"]
+    rows = spark.createDataFrame([(u,) for u in uris], "u string")
+    old = strip_scheme(F.url_decode(F.replace(F.col("u"), F.lit("+"), F.lit("%2B"))))
+    for row in rows.select("u", plain_path(F.col("u")).alias("new"), old.alias("old")).collect():
+        assert row.new == row.old, row.u
+
+
+def test_rows_of_plain_paths_are_not_decoded(spark):
+    # an invalid code raises where it is decoded; without a code nothing is
+    plan = spark.range(1).select(plain_path(F.format_string("file:/x/%d", F.col("id"))).alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CASE WHEN Contains") < plan.index("regexp_replace")
