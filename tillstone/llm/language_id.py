@@ -24,12 +24,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import let_go, small
+from tillstone.llm.common import let_go, letting_go, small
 
 SAMPLE_ROWS = 8000
 LEAST_COUNT = 3  # of a word or n-gram that the model keeps
@@ -63,21 +62,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Log frequencies by language."""
+    """Log frequencies by language: for each length the row of every item, and the rows of all items as one array."""
 
-    def __init__(self, languages: list[str], tables: list[dict[str, list[float]]]):
+    def __init__(self, languages: list[str], tables: list[tuple[dict[str, int], np.ndarray]]):
         self.languages, self.tables = languages, tables
 
     def word(self, word: str) -> list[float]:
-        known = self.tables[0].get(word)
+        rows, scores = self.tables[0]
+        known = rows.get(word)
         if known is not None:
-            return known
+            return scores[known].tolist()
         for size in range(LONGEST, 0, -1):
-            table = self.tables[size]
-            found = [table[g] for g in grams(word, size) if g in table]
+            rows, scores = self.tables[size]
+            found = [rows[g] for g in grams(word, size) if g in rows]
             if found:
                 step = BACK_OFF * (LONGEST + 1 - size)
-                return [sum(column) / len(found) + step for column in zip(*found, strict=True)]
+                return [sum(column) / len(found) + step for column in zip(*scores[found].tolist(), strict=True)]
         return [0.0] * len(self.languages)
 
 
@@ -99,7 +99,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     most = quota(list(sizes.values()), sample_rows)
     bounds = labelled.sparkSession.createDataFrame([(lang, int(min(1.0, most / n) * (1 << 30))) for lang, n in sizes.items()], "lang string, bound long")
     chosen = rows.join(small(bounds), "lang").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("bound")).select("lang", "text")
-    counts = (chosen.mapInArrow(_count, "lang string, size int, item string, n long")
+    counts = (chosen.mapInArrow(letting_go(_count), "lang string, size int, item string, n long")
               .groupBy("lang", "size", "item").agg(F.sum("n").alias("n")))
     # a total over all languages decides whether an item is kept
     kept = counts.groupBy("size", "item").agg(F.collect_list(F.struct("lang", "n")).alias("by"), F.sum("n").alias("all"))
@@ -110,7 +110,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 def _model(found: pa.Table) -> Model:
     by = found.column("by").combine_chunks()
     if len(by) == 0:
-        return Model([], [{} for _ in range(LONGEST + 1)])
+        return Model([], [({}, np.zeros((0, 0), dtype=np.float32)) for _ in range(LONGEST + 1)])
     inner = by.flatten()
     lang_of = inner.field("lang").to_pylist()
     languages = sorted(set(lang_of))
@@ -120,12 +120,12 @@ def _model(found: pa.Table) -> Model:
     seen[row, [column[x] for x in lang_of]] = inner.field("n").to_numpy()
     sizes = found.column("size").to_numpy()
     items = found.column("item").to_pylist()
-    tables: list[dict[str, list[float]]] = []
+    tables: list[tuple[dict[str, int], np.ndarray]] = []
     for size in range(LONGEST + 1):
         at = np.flatnonzero(sizes == size)
         part = seen[at]
-        scores = np.log((part + 0.5) / (part.sum(axis=0) + 0.5 * max(len(at), 1))).tolist()
-        tables.append(dict(zip((items[i] for i in at), scores, strict=True)))
+        scores = np.log((part + 0.5) / (part.sum(axis=0) + 0.5 * max(len(at), 1))).astype(np.float32)
+        tables.append(({items[i]: k for k, i in enumerate(at)}, scores))
     return Model(languages, tables)
 
 
@@ -150,16 +150,16 @@ def predictor(spark, model: Model):
     """Column function text -> (lang, score).
 
     The model travels as arrays; its tables and the scores of words seen live for one task only, so that
-    they take no memory from what the worker does next.
+    they take no memory from what the worker does next. Texts stay Arrow buffers and are taken one by one, since
+    the strings of a batch are as large as the rest of a task.
     """
-    width = len(model.languages)
-    packed = [(list(t), np.array(list(t.values()), dtype=np.float32).reshape(len(t), width)) for t in model.tables]
+    packed = [(pa.array(list(rows), pa.string()), scores) for rows, scores in model.tables]
     shared = spark.sparkContext.broadcast((model.languages, packed))
 
-    @F.pandas_udf("lang string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         languages, tables = shared.value
-        scores = _Scores(Model(languages, [dict(zip(items, rows.tolist(), strict=True)) for items, rows in tables]))
+        scores = _Scores(Model(languages, [({item.as_py(): k for k, item in enumerate(items)}, rows) for items, rows in tables]))
         try:
             for texts in batches:
                 yield judged(texts, scores)
@@ -170,11 +170,12 @@ def predictor(spark, model: Model):
     return predict
 
 
-def judged(texts: pd.Series, scores: _Scores) -> pd.DataFrame:
+def judged(texts: pa.Array, scores: _Scores) -> pa.Array:
     """Language and score of each text."""
     languages = scores.model.languages
     names, shares = [], []
-    for text in texts:
+    for item in texts:
+        text = item.as_py()
         words = _LETTERS.findall(text.lower()) if text else []
         if not languages or not any(c.isalpha() for w in words for c in w):
             names.append(UNDECIDED)
@@ -187,7 +188,7 @@ def judged(texts: pd.Series, scores: _Scores) -> pd.DataFrame:
         best = int(total.argmax())
         names.append(languages[best])
         shares.append(float(1 / np.exp(np.minimum(total - total[best], 0)).sum()))
-    return pd.DataFrame({"lang": names, "score": shares})
+    return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(shares, pa.float64())], names=["lang", "score"])
 
 
 def held_out(id_column: str):
