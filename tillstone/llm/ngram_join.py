@@ -30,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstone.llm.common import connected, cut, letting_go, lists, signed, small
+from tillstone.llm.common import arrow_rows, connected, cut, letting_go, lists, signed, small
 from tillstone.llm.kernels import BASE, U64, Words, mix, shingle_hashes, slices
 
 # Sets that hold a low token, up to which it counts as rare.
 RARE = 24
 # Tokens in a block that is verified at once (a larger set is a block by itself).
 BLOCK_TOKENS = 1 << 15
+PAIRS_A_BATCH = 32  # pairs of blocks that a task holds at once in Python
 HIGH, PAIR, SINGLE = 1, 2, 0
 # A document is its id and 96 bits of its text.
 KEY = ("id", "k1", "k2")
@@ -300,7 +301,9 @@ def _members(docs: DataFrame, width: int, percent: int, id_column: str, text_col
     across = (pairs.join(blocks.select(F.col("block").alias("bx"), F.col("members").alias("x")), "bx")
               .join(blocks.select(F.col("block").alias("by"), F.col("members").alias("y")), "by").select("bx", "by", "x", "y"))
     links = within.mapInArrow(letting_go(_verify(percent)), "a long, b long").unionByName(across.mapInArrow(letting_go(_verify(percent)), "a long, b long"))
-    found = connected(links).withColumnRenamed("node", "rep")
+    # a row holds two whole blocks, so a batch of the usual size would hold all of a task
+    with arrow_rows(docs.sparkSession, PAIRS_A_BATCH):
+        found = connected(links).withColumnRenamed("node", "rep")
 
     members = rows.select("row", *KEY, "n", "s1", "s2").join(sets.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left")
     return members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep", "row"))
