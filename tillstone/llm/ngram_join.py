@@ -9,11 +9,16 @@ part is a signature, so that a part of m tokens is worth m - 1. With at most t t
 worth t + 1 must share a signature. Frequent tokens therefore extend the prefix instead of making
 large groups of unlike sets.
 
-Sets with equal tokens are folded before, whatever their number. Sets with a common signature are not
-paired off: they are dealt into blocks, by the largest group that each belongs to, and each pair of
-blocks that a signature connects is verified once, by one product of their token matrices, which gives
-at most as many links as joins the sets at hand. So no link between different components is lost, and
-a group of g sets makes rows by its blocks only.
+Sets with equal tokens are folded before, whatever their number. Of sets with a common signature all
+tokens are read, and ordered by the number of these sets that hold each. A set's prefix along this order
+is shorter where the other set is not smaller, and near copies that are not linked seldom share a token
+of it, since it begins with what tells them apart.
+
+Sets with a common prefix token are not paired off: they are dealt into blocks, by the largest group that
+each belongs to. Each block is verified by itself and with the largest block of each token, by one product
+of their token matrices, which gives at most as many links as joins the sets at hand. All other pairs of
+blocks follow only for tokens whose sets are then of more than one component. So no link between
+different components is lost, and a family of linked sets costs rows and pairs in proportion to it.
 
 Results: one row per input row, also for repeated rows and ids. A null or empty text has no shingle
 and no link; a null id keeps its row, and the component takes the smallest id that is not null.
@@ -280,35 +285,82 @@ def _members(docs: DataFrame, width: int, percent: int, id_column: str, text_col
         high = F.slice(F.filter("tokens", _is_high(percent)), 1, F.col("short"))
         signs = cut(signs.unionByName(full.select(F.explode(high).alias("key"), F.lit(HIGH).alias("kind"), F.lit(-1).alias("level"), "rep", "n")))
 
-    groups = signs.groupBy("key", "kind", "level").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens")).filter("sets > 1")
-    met = cut(signs.join(groups, ["key", "kind", "level"]))
-    home = met.groupBy("rep").agg(F.max(F.struct("tokens", "kind", "level", "key")).alias("home"))
-    placed = cut(home.join(sets.select("rep", "n"), "rep").select("rep", "n", F.xxhash64("home.kind", "home.level", "home.key", F.pmod(
-        F.xxhash64("rep"), F.ceil(F.col("home.tokens") / BLOCK_TOKENS))).alias("block")))
-    of_key = met.join(placed, "rep").select("key", "kind", "level", "block").distinct()
-    # blocks of which no sets are near enough in size are not compared
-    sizes = placed.groupBy("block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.sum("n").alias("total"))
-    side = lambda name: of_key.join(sizes, "block").select(
-        "key", "kind", "level", F.col("block").alias(f"b{name}"), *(F.col(c).alias(f"{c}_{name}") for c in ("least", "most", "total")))
-    # the first block of a pair is sent to the second, so it is the one with fewer tokens
-    pairs = (side("x").join(side("y"), ["key", "kind", "level"])
-             .filter("total_x < total_y or (total_x = total_y and bx < by)")
-             .filter(f"100 * most_x >= {percent} * least_y and 100 * most_y >= {percent} * least_x").select("bx", "by").distinct())
-    full = _texts_of(texts, placed.select("rep", "block").join(sets, "rep"), width)
-    blocks = cut(full.groupBy("block").agg(F.collect_list(F.struct("rep", "tokens")).alias("members")))
+    groups = signs.groupBy("key", "kind", "level").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    near = signs.join(groups, ["key", "kind", "level"], "left_semi").select("rep").distinct()
+    full = cut(_texts_of(texts, near.join(sets, "rep"), width).select("rep", "n", "tokens"))
+    met = cut(_prefix_tokens(full, percent))
+    home = met.groupBy("rep", "n").agg(F.max(F.struct("group_tokens", "h")).alias("home"))
+    placed = cut(home.select("rep", "n", F.xxhash64("home.h", F.pmod(
+        F.xxhash64("rep"), F.ceil(F.col("home.group_tokens") / BLOCK_TOKENS))).alias("block")))
+    blocks = cut(full.join(placed.select("rep", "block"), "rep").groupBy("block").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("rep", "tokens")).alias("members")))
+    met = cut(met.join(placed.select("rep", "block"), "rep").join(blocks.select("block", "total"), "block"))
+
+    # first each block by itself, and with the largest block that it shares a token with
+    of_key = met.groupBy("h", "block", "total").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    hubs = of_key.groupBy("h").agg(F.max_by(F.struct("block", "least", "most"), F.struct("total", "block")).alias("hub"), F.count(F.lit(1)).alias("blocks"))
+    first = cut(of_key.join(hubs.filter("blocks > 1"), "h").filter("block <> hub.block")
+                .filter(f"100 * most >= {percent} * hub.least and 100 * hub.most >= {percent} * least")
+                .select(F.col("block").alias("bx"), F.col("hub.block").alias("by")).distinct())
     within = blocks.filter("size(members) > 1").select(
         F.col("block").alias("bx"), F.col("block").alias("by"), F.col("members").alias("x"), F.col("members").alias("y"))
-    across = (pairs.join(blocks.select(F.col("block").alias("bx"), F.col("members").alias("x")), "bx")
-              .join(blocks.select(F.col("block").alias("by"), F.col("members").alias("y")), "by").select("bx", "by", "x", "y"))
-    links = within.mapInArrow(letting_go(_verify(percent)), "a long, b long").unionByName(across.mapInArrow(letting_go(_verify(percent)), "a long, b long"))
     # a row holds two whole blocks, so a batch of the usual size would hold all of a task
     with arrow_rows(docs.sparkSession, PAIRS_A_BATCH):
+        links = _verified(within, percent).unionByName(_verified(_block_pairs(first, blocks), percent))
         found = connected(links).withColumnRenamed("node", "rep")
+        # then all pairs of blocks, but only for tokens whose sets are not all linked yet
+        rest = cut(_unlinked_pairs(met, found, percent).join(first, ["bx", "by"], "left_anti"))
+        if rest.limit(1).count():
+            links = _verified(_block_pairs(rest, blocks), percent)
+            found = connected(found.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(links)).withColumnRenamed("node", "rep")
 
     members = rows.select("row", *KEY, "n", "s1", "s2").join(sets.select("n", "s1", "s2", "rep"), ["n", "s1", "s2"], "left")
     return members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep", "row"))
 
 
+def _prefix_tokens(full: DataFrame, percent: int) -> DataFrame:
+    """h, rep, n, short, group_tokens: tokens by which sets can link, of whole sets, those that few hold first.
+
+    Of two linked sets, the larger one's prefix has a token of the smaller one's short prefix, which is
+    laid out for sets that are not smaller. Tokens that no other set holds take up their places.
+    """
+    tokens = full.select("rep", F.explode("tokens").alias("h"))
+    held = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    shared = tokens.join(held, "h").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("held", "h"))).alias("shared"))
+    ranked = shared.join(full.select("rep", "n"), "rep").withColumn("alone", F.col("n") - F.size("shared"))
+    prefix = ranked.select("rep", "n", "alone", F.posexplode(F.expr(
+        f"slice(shared, 1, int(greatest((100 - {percent}) * n div 100 + 1 - alone, 0)))")).alias("place", "token"))
+    signs = prefix.select("rep", "n", F.col("token.h").alias("h"), F.expr(
+        f"alone + place < n - (2 * {percent} * n + 99 + {percent}) div (100 + {percent}) + 1").alias("short"))
+    groups = signs.groupBy("h").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("group_tokens"), F.max("short").alias("any_short"))
+    return signs.join(groups.filter("sets > 1 and any_short").select("h", "group_tokens"), "h")
+
+
+def _block_pairs(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Both blocks of each pair; the first is sent to the second, so it is the one with fewer tokens."""
+    side = lambda at, name: blocks.select(F.col("block").alias(at), F.col("members").alias(name))
+    return pairs.join(side("bx", "x"), "bx").join(side("by", "y"), "by").select("bx", "by", "x", "y")
+
+
+def _verified(pairs: DataFrame, percent: int) -> DataFrame:
+    return pairs.mapInArrow(letting_go(_verify(percent)), "a long, b long")
+
+
+def _unlinked_pairs(met: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs of blocks that share a token, hold sets near in size for it, and of more than one component."""
+    linked = met.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    open_keys = linked.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("h")
+    of_key = linked.join(open_keys, "h").groupBy("h", "block", "total").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("short").alias("short"),
+        F.min("component").alias("lo"), F.max("component").alias("hi"))
+    side = lambda name: of_key.select("h", F.col("block").alias(f"b{name}"), *(
+        F.col(c).alias(f"{c}_{name}") for c in ("total", "least", "most", "short", "lo", "hi")))
+    return (side("x").join(side("y"), "h")
+            .filter("(total_x < total_y or (total_x = total_y and bx < by)) and (short_x or short_y)")
+            .filter("least(lo_x, lo_y) < greatest(hi_x, hi_y)")
+            .filter(f"100 * most_x >= {percent} * least_y and 100 * most_y >= {percent} * least_x").select("bx", "by").distinct())
+
+
 def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90, id_column: str = "doc_id",
                        text_column: str = "text") -> DataFrame:
     """row, id, n_shingles, component_id of every input row; rows link at ``percent`` similarity."""
@@ -353,6 +405,5 @@ def _texts_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     wanted = cut(wanted)
     ids = small(cut(wanted.select(F.col("id").alias("wanted_id")).distinct()))
     read = texts.join(ids, texts.id.eqNullSafe(ids.wanted_id), "left_semi").mapInArrow(letting_go(_sets(width)), SETS)
-    same = [read.id.eqNullSafe(wanted.id), *(read[c] == wanted[c] for c in ("n", "s1", "s2"))]
-    joined = wanted.join(read, same).select(*(wanted[c] for c in wanted.columns), read.tokens)
-    return joined.dropDuplicates(["rep"])
+    # any text with the same set will do
+    return wanted.join(read.drop("id").dropDuplicates(["n", "s1", "s2"]), ["n", "s1", "s2"])
