@@ -181,7 +181,10 @@ def silver_summarized_credit_notes(spark: SparkSession, sf_dir: str) -> DataFram
 
 @query("silver_detailed_invoices", sql.with_tables(*sql.FROM_DETAILED) + "SELECT * FROM detailed_invoices")
 def silver_detailed_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.detailed_invoices(_detailed_with_id(spark, sf_dir), RUN, ROW_ID)
+    """A line and its copy have neighbouring places in their file, so first rows are found by place and lines are not shuffled for it."""
+    file, index, copy = ROW_ID
+    placed = _detailed_with_id(spark, sf_dir).withColumn("_row_place", F.col(index) * 2 + F.col(copy))
+    return silver.detailed_invoices(placed, RUN, position=(file, "_row_place"))
 
 
 @query("silver_detailed_credit_notes", sql.with_tables(sql.BRONZE_D, sql.DETAILED_CREDIT_NOTES)
